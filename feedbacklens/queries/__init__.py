@@ -1,0 +1,5 @@
+"""Registered queries, by area."""
+
+from . import preparation
+
+MODULES = [preparation]
