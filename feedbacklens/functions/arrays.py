@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .text import PAD_ID, START_ID, STOP_ID
 
 
+def pin(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated once per row.
+
+    The optimizer would inline an expression into a lambda that refers to it and
+    evaluate it again for every element; a one-row generator stops that.
+    """
+    cell = F.struct(*[c.alias(name) for name, c in columns.items()])
+    rest = [c for c in df.columns if c not in columns]
+    return df.withColumn("_pin", F.explode(F.array(cell))).select(*rest, "_pin.*")
+
+
 def pad(array: Column, length: Column, value: int = PAD_ID) -> Column:
     """Extend an int array to ``length`` with the padding id."""
     missing = F.greatest(length - F.size(array), F.lit(0)).cast("int")
@@ -43,7 +54,10 @@ def vector_sum(vectors: Column, dim: int) -> Column:
     )
 
 
-def unit(vector: Column) -> Column:
-    """L2-normalised vector; a zero vector stays zero."""
-    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x * x))
-    return F.when(norm == 0, vector).otherwise(F.transform(vector, lambda x: x / norm))
+def with_unit(df: DataFrame, name: str, vector: Column) -> DataFrame:
+    """Add an L2-normalised vector; a zero vector stays zero."""
+    df = pin(df, **{name: vector})
+    square = F.aggregate(name, F.lit(0.0), lambda acc, x: acc + x * x)
+    df = pin(df, _norm=F.sqrt(square))
+    return df.withColumn(name, F.when(F.col("_norm") == 0, F.col(name)).otherwise(
+        F.transform(name, lambda x: x / F.col("_norm")))).drop("_norm")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import text as T
+from ..functions.arrays import pin
 from ..plans.ordering import number_rows
 
 
@@ -33,7 +34,7 @@ def parse_stories(df: DataFrame) -> DataFrame:
     after = F.when(first == 0, F.array().cast("array<string>")).otherwise(
         F.slice(lines, first, F.size(lines)))
     return (
-        df.withColumn("_lines", F.filter(story_lines(F.col("story")), lambda l: l != ""))
+        pin(df, _lines=F.filter(story_lines(F.col("story")), lambda l: l != ""))
         .withColumn("_first",
                     F.array_position(F.transform(F.col("_lines"), is_mark), True).cast("int"))
         .withColumn("article", F.array_join(before, " "))

@@ -1,5 +1,5 @@
 """Registered queries, by area."""
 
-from . import preparation
+from . import graphs, preparation, texts
 
-MODULES = [preparation]
+MODULES = [preparation, texts, graphs]
