@@ -1,5 +1,5 @@
 """Registered queries, by area."""
 
-from . import graphs, preparation, texts
+from . import graphs, preparation, scoring, texts
 
-MODULES = [preparation, texts, graphs]
+MODULES = [preparation, texts, graphs, scoring]

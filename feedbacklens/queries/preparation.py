@@ -253,8 +253,11 @@ batched AS (
     AS batch_id FROM numbered)"""
 
 
-@query(f"""WITH {BATCH_SQL}
-SELECT doc_id, CAST(enc_len AS INTEGER) AS enc_len, CAST(batch_id AS BIGINT) AS batch_id FROM batched""")
+LENGTH_SQL = f"""WITH {BATCH_SQL}
+SELECT doc_id, CAST(enc_len AS INTEGER) AS enc_len, CAST(batch_id AS BIGINT) AS batch_id FROM batched"""
+
+
+@query(LENGTH_SQL)
 def length_batches(spark, sf):
     return batches.length_batches(
         X.encoded(spark, sf).select("doc_id", "enc_len"), "doc_id", 16)
@@ -280,7 +283,7 @@ def padded_batches(spark, sf):
         text_ids("target_batch").alias("target_batch"))
 
 
-@query()
+@query(LENGTH_SQL)
 def shuffled_batches(spark, sf):
     return batches.shuffle_batches(length_batches(spark, sf))
 

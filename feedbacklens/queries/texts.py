@@ -78,7 +78,7 @@ pword AS (SELECT doc_id, phrase, len(string_split(phrase, ' ')) AS n,
                  unnest(string_split(phrase, ' ')) AS w FROM phrase),
 pscore AS (SELECT doc_id, w, sum(n) / count(*) AS s FROM pword GROUP BY doc_id, w),
 pranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, phrase DESC) AS rank
-  FROM (SELECT p.doc_id, p.phrase, round(sum(s), 6) AS score
+  FROM (SELECT p.doc_id, p.phrase, round(sum(s) + 1e-9, 6) AS score
         FROM pword p JOIN pscore x ON x.doc_id = p.doc_id AND x.w = p.w GROUP BY p.doc_id, p.phrase))"""
 
 
@@ -115,13 +115,16 @@ def concept_candidates(spark, sf):
     return K.concept_candidates(generated_docs(spark, sf), "doc_id", NAMES).drop("feed")
 
 
+UPPER_SQL = "replace(upper(t), 'ẞ', 'SS')"
+
+
 @query(f"""WITH a AS (
   SELECT doc_id, regexp_extract_all(lower(text), {TOKEN_SQL}) AS l,
          list_filter(regexp_extract_all(text, {TOKEN_SQL}),
-                     lambda t: t = upper(t) AND t <> lower(t) AND t <> 'A') AS acr FROM documents)
+                     lambda t: t = {UPPER_SQL} AND t <> lower(t) AND t <> 'A') AS acr FROM documents)
 SELECT doc_id, CAST(len(list_distinct(acr)) AS INTEGER) AS n_acronyms,
-       coalesce(array_to_string(list_transform(l, lambda t: CASE WHEN list_contains(acr, upper(t))
-                                THEN upper(t) ELSE t END), ' '), '') AS restored FROM a""")
+       coalesce(array_to_string(list_transform(l, lambda t: CASE WHEN list_contains(acr, {UPPER_SQL})
+                                THEN {UPPER_SQL} ELSE t END), ' '), '') AS restored FROM a""")
 def acronym_restore(spark, sf):
     docs = pin(X.table(spark, sf, "documents"), known=T.acronyms(F.col("text")))
     restored = T.restore_acronyms(T.tokens(F.lower("text")), F.col("known"))
@@ -151,11 +154,17 @@ def corpus_words(spark, sf):
     )
 
 
+# One byte per letter, because the distance function below counts bytes.
+ACCENTED = "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿß×÷"
+SINGLE = "ABCDEFGHIJKLMNOPQRSTUVWXYZ!@#$%^&*"[: len(ACCENTED)]
+
+
 @query(f"""WITH {CORPUS_SQL},
-pair AS (SELECT c.word, d.word AS entry, d.cnt FROM corpus c
-  JOIN dictionary d ON abs(length(c.word) - length(d.word)) <= 1
-                   AND damerau_levenshtein(c.word, d.word) = 1
-  WHERE c.cnt < 50),
+plain AS (SELECT word, cnt, translate(word, '{ACCENTED}', '{SINGLE}') AS p FROM corpus),
+keyed AS (SELECT word, cnt, p, unnest(list_append(list_transform(range(1, length(p) + 1),
+            lambda i: substr(p, 1, i - 1) || substr(p, i + 1)), p)) AS k FROM plain),
+pair AS (SELECT DISTINCT c.word, d.word AS entry, d.cnt FROM keyed c JOIN keyed d ON c.k = d.k
+  WHERE c.cnt < 50 AND d.cnt >= 50 AND damerau_levenshtein(c.p, d.p) = 1),
 best AS (SELECT word, arg_min(entry, struct_pack(c := -cnt, e := entry)) AS entry FROM pair GROUP BY word)
 SELECT c.word, coalesce(b.entry, c.word) AS corrected FROM corpus c LEFT JOIN best b USING (word)""")
 def spell_correct(spark, sf):
