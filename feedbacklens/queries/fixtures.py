@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import prepare, stories, vocab
+from ..sources.readers import spread
 
 ENC_STEPS, DEC_STEPS = 400, 100
 SMALL_VOCAB = 2_000
+TEXT_KEYS = {"documents": "doc_id", "conversations": "conv_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, TEXT_KEYS[name]) if name in TEXT_KEYS else df
 
 
 def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:

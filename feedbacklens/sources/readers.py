@@ -15,6 +15,15 @@ PARAMETERS = {
 }
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give an input with fewer partitions than cores one partition per core.
+
+    Inputs of normal size have more splits than cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def _tsv(spark: SparkSession, schema: str, header: bool):
     return (
         spark.read.schema(schema).option("sep", "\t").option("header", header)
