@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as T
+from ..functions.arrays import pin
 from ..functions.matching import lcs
 
 REPLICATES = 1_000
@@ -34,10 +35,12 @@ def rouge_n(pairs: DataFrame, key: str, n: int) -> DataFrame:
     and counts combine on the map side.
     """
     cell = lambda column, side: F.transform(
-        _grams(T.words(F.lower(column)), n),
+        _grams(F.col(column), n),
         lambda g: F.struct(g.alias("gram"), F.lit(side).alias("side")))
-    grams = pairs.select(key, F.explode_outer(
-        F.concat(cell("reference", 0), cell("candidate", 1))).alias("_g"))
+    words = pin(pairs.select(key, "reference", "candidate"),
+                _r=T.words(F.lower("reference")), _c=T.words(F.lower("candidate")))
+    grams = words.select(key, F.explode_outer(
+        F.concat(cell("_r", 0), cell("_c", 1))).alias("_g"))
     counts = grams.groupBy(key, F.col("_g.gram").alias("gram")).agg(
         F.count_if(F.col("_g.side") == 0).alias("r"), F.count_if(F.col("_g.side") == 1).alias("c"))
     sums = counts.groupBy(key).agg(

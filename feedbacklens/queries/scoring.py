@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import generate, hypotheses, metrics, prepare, rouge, sentiment as S, tagging
+from ..plans import flow
 from ..plans.ordering import number_rows
 from ..session import scratch_path
 from ..streaming import jobs
 from . import fixtures as X
 from .preparation import CLEAN_SQL, CONCEPT_SQL
-from .texts import TOKEN_SQL, UPPER_SQL, WORD_SQL, sql_list
+from .texts import NAMES, TOKEN_SQL, UPPER_SQL, WORD_SQL, corpus_vectors, sql_list
 
 QUERIES = {}
 ORACLE = {}
@@ -336,6 +337,16 @@ def label_tag(spark, sf):
     return tagging.tag_label(feedback, labels).withColumn("score", F.round("score", 6))
 
 
+@query()
+def concept_report(spark, sf):
+    """Documents as generated text, through every stage to ranked concepts."""
+    docs = X.table(spark, sf, "documents").select(
+        F.col("doc_id").alias("sno"), F.col("source").alias("label"),
+        F.col("text").alias("feedback"), F.col("text").alias("generated"))
+    params = flow.Parameters(simthreshold=0.8, max_concepts=5, labelmatch=60, minimum_feedbacks=5)
+    return flow.important_concepts(docs, corpus_vectors(spark, sf), 64, params, NAMES)
+
+
 @query(f"""SELECT 'feedback' AS stage, (SELECT count(*) FROM ({CLEAN_SQL})) AS rows
 UNION ALL SELECT 'concepts', (SELECT count(*) FROM ({CONCEPT_SQL}))""")
 def count_reconcile(spark, sf):
