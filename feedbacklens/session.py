@@ -48,7 +48,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, ending its lineage."""
-    spark = df.sparkSession
-    shared_dir(spark)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    This ends the lineage, survives lost executors, and gives later plans the
+    true size: a checkpointed plan would keep its estimate, which multiplies
+    with every join of an iteration.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
