@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, token_count, url_filter
+from . import byte_bpe, embed_dedup, simhash, token_count, topk, url_filter
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -21,6 +21,20 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft", "weight")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"),
+                        F.col("component").alias("component_id"))
+
+
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_count.count_tokens(docs, public_tokenizers.path(WORD_VOCABULARY)).drop("text")
@@ -31,7 +45,8 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encoded_digest(docs, public_tokenizers.path(BYTE_RANKS)).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op7_token_count, op8_byte_bpe)}
+QUERIES = {f.__name__: f for f in (
+    op1_url_filter, op4_simhash, op5_topk_search, op6_embedding_dedup, op7_token_count, op8_byte_bpe)}
 
 _HOST = (f"translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), "
          f"'{url_filter.UPPER}', '{url_filter.LOWER}')")
@@ -64,5 +79,42 @@ SELECT page_id, host, path, r.rule AS rule,
   coalesce(list_sum(list_transform(list_filter(found, lambda x: x.w >= {url_filter.REJECT}), lambda x: x.n)), 0)::INTEGER AS n_strict,
   len(coalesce(list_filter(found, lambda x: x.w < {url_filter.REJECT}), []))::INTEGER AS n_soft, weight
 FROM ruled
+""",
+    "op5_topk_search": """
+WITH usable AS (
+  SELECT vec_id, row_number() OVER () AS uid,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.uid AS asker, q.vec_id AS query_id, c.vec_id AS vec_id,
+         list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM usable q JOIN usable c ON q.uid <> c.uid WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY asker ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id, score
+FROM scored
+QUALIFY row_number() OVER (PARTITION BY asker ORDER BY score DESC, vec_id) <= 5
+""",
+    "op6_embedding_dedup": """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+  ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.v, b.v)
+        / sqrt(list_inner_product(a.v, a.v) * list_inner_product(b.v, b.v)) >= 0.93),
+reached(node, seen) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT reached.node, links.b FROM reached JOIN links ON links.a = reached.seen),
+parts AS (SELECT node, min(seen) AS component_id FROM reached GROUP BY node),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(counts.n, 0)::BIGINT AS n_links, parts.component_id,
+       e.vec_id = parts.component_id AS kept
+FROM embeddings e JOIN parts ON parts.node = e.vec_id LEFT JOIN counts ON counts.a = e.vec_id
 """,
 }
