@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, embed_dedup, simhash, token_count, topk, url_filter
+from . import byte_bpe, embed_dedup, quality, simhash, token_count, topk, toxicity, url_filter
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -21,6 +21,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft", "weight")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score_texts(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"),
@@ -45,8 +50,14 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encoded_digest(docs, public_tokenizers.path(BYTE_RANKS)).drop("text")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.score_texts(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_url_filter, op4_simhash, op5_topk_search, op6_embedding_dedup, op7_token_count, op8_byte_bpe)}
+    op1_url_filter, op2_toxicity, op4_simhash, op5_topk_search, op6_embedding_dedup, op7_token_count,
+    op8_byte_bpe, op9_quality)}
 
 _HOST = (f"translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), "
          f"'{url_filter.UPPER}', '{url_filter.LOWER}')")
