@@ -20,6 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe import Merges
+from .columns import column, others, unused
 
 CACHED = 200_000
 ASTRAL = re.compile("[\U00010000-\U0010ffff]")
@@ -197,7 +198,7 @@ def encode_texts(docs: DataFrame, path: str, *, pattern: str = PUBLIC_PATTERN, t
                  for run in groups(texts.to_pylist())]
         return pa.chunked_array(found, pa.list_(pa.int32())).combine_chunks()
 
-    return docs.withColumn(ids, encode(F.col(f"`{text}`")))
+    return docs.withColumn(ids, encode(column(text)))
 
 
 def decode_ids(docs: DataFrame, path: str, *, ids: str = "token_ids", decoded: str = "decoded") -> DataFrame:
@@ -212,7 +213,7 @@ def decode_ids(docs: DataFrame, path: str, *, ids: str = "token_ids", decoded: s
         encoder = encoder_for(file.value, PUBLIC_PATTERN)
         return pa.array([encoder.decode(row or ()) for row in rows.to_pylist()], pa.binary())
 
-    return docs.withColumn(decoded, decode(F.col(f"`{ids}`")))
+    return docs.withColumn(decoded, decode(column(ids)))
 
 
 def encoded_digest(docs: DataFrame, path: str, *, pattern: str = PUBLIC_PATTERN,
@@ -238,6 +239,6 @@ def encoded_digest(docs: DataFrame, path: str, *, pattern: str = PUBLIC_PATTERN,
             names=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     names = ["n_tokens", "ids_sha256", "decoded_sha256"]
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in names]
-    found = docs.select(*kept, digest(F.col(f"`{text}`")).alias("_digest"))
-    return found.select(*kept, *[F.col(f"_digest.{name}").alias(name) for name in names])
+    kept, made = others(docs, *names), unused(docs, "_digest")
+    found = docs.select(*kept, digest(column(text)).alias(made))
+    return found.select(*kept, *[F.col(f"{made}.{name}").alias(name) for name in names])

@@ -16,6 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut
+from .columns import column
 from .components import components
 from .vectors import matrix, sample_rows, usable, widened
 
@@ -114,8 +115,8 @@ def near_duplicates(rows: DataFrame, *, key: str = "vec_id", vector: str = "embe
     if not 0 < cosine <= 1:
         raise ValueError("cosine must be above 0 and at most 1")
     spark = rows.sparkSession
-    base = cut(rows.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("label"),
-                           F.col(f"`{vector}`").alias("vec"), F.monotonically_increasing_id().alias("uid")))
+    base = cut(rows.select(column(key).alias("key"), column(label).cast("int").alias("label"),
+                           column(vector).alias("vec"), F.monotonically_increasing_id().alias("uid")))
     real = base.filter(usable(F.col("vec")) & F.col("label").isNotNull()
                        & F.exists("vec", lambda x: x != 0))
     folded = cut(real.groupBy("label", "vec").agg(

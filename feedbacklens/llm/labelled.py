@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .columns import column
+
 #: Rows of labels (about 16 bytes each) up to which they are sent to every task.
 BROADCAST_ROWS = 1_000_000
 
@@ -21,12 +23,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, key: str, text
     that number both sides are shuffled.  Rows without a key or label are left out; if a
     key has several labels, the highest counts.
     """
-    known = (labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("label"))
+    known = (labels.select(column(key).alias("key"), column(label).cast("int").alias("label"))
              .filter(F.col("key").isNotNull() & F.col("label").isNotNull() & (fold(F.col("key")) != 1))
              .groupBy("key").agg(F.max("label").alias("label")))
     if labels.count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
-    own = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    own = docs.select(column(key).alias("key"), column(text).alias("text"))
     return (own.filter(F.col("key").isNotNull() & (fold(F.col("key")) != 1)).join(known, "key")
             .select("key", fold(F.col("key")).alias("fold"), "label", "text"))
 

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .columns import column, others
 from .labelled import fold, training_rows
 from .word_hash import runs, words
 
@@ -201,7 +202,6 @@ def score_texts(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text
         return pa.array(np.concatenate(found) if found else np.zeros(0))
 
     names = ["held_out", "score", "predicted"]
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in names]
-    scored = docs.select(*kept, (fold(F.col(f"`{key}`")) == 1).alias("held_out"),
-                         score(F.col(f"`{text}`")).alias("score"))
+    scored = docs.select(*others(docs, *names), (fold(column(key)) == 1).alias("held_out"),
+                         score(column(text)).alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))

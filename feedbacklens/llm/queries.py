@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, embed_dedup, quality, simhash, token_count, topk, toxicity, url_filter
+from ..session import cut
+from . import byte_bpe, embed_dedup, mixing, quality, secrets, simhash, token_count, topk, toxicity, url_filter
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -26,6 +27,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_texts(docs, table(spark, sf_dir, "labels")).drop("text")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"),
@@ -55,9 +60,15 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_texts(docs, table(spark, sf_dir, "labels")).drop("text")
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = cut(table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "source", mixing.word_count(F.col("text")).alias("tokens")))
+    return mixing.mix_sources(counted).select("doc_id", "domain", "lang", "source", "epoch", "tokens")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_url_filter, op2_toxicity, op4_simhash, op5_topk_search, op6_embedding_dedup, op7_token_count,
-    op8_byte_bpe, op9_quality)}
+    op1_url_filter, op2_toxicity, op3_secrets, op4_simhash, op5_topk_search, op6_embedding_dedup,
+    op7_token_count, op8_byte_bpe, op9_quality, op10_mixing)}
 
 _HOST = (f"translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), "
          f"'{url_filter.UPPER}', '{url_filter.LOWER}')")

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut
+from .columns import column
 from .components import components
 
 BITS, SEED, BLOCK = 64, 42, 1 << 14
@@ -54,7 +55,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", words: int = 3, out: s
     def simhash(texts: pa.Array) -> pa.Array:
         return pa.array([fingerprint(t.as_py(), words) for t in texts], pa.int64())
 
-    return docs.withColumn(out, simhash(F.col(f"`{text}`")))
+    return docs.withColumn(out, simhash(column(text)))
 
 
 def ball(radius: int) -> list[int]:
@@ -91,7 +92,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     there); repeated rows give repeated results; an empty table gives none.
     """
     prints = cut(with_fingerprint(
-        docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")), "text", words, "fp")
+        docs.select(column(key).alias("key"), column(text).alias("text")), "text", words, "fp")
         .select("key", "fp"))
     folded = cut(prints.groupBy("fp").agg(F.min("key").alias("low")))
     linked = cut(components(near_edges(folded.select("fp"), radius)))

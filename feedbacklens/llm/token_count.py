@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .bpe import Merges
 from .byte_bpe import broadcast_file
+from .columns import column, others
 
 #: fixed value: white space as Unicode defines it
 BLANK = "\t-\r \x85\xa0  -     　"
@@ -225,8 +226,7 @@ def count_tokens(docs: DataFrame, path: str, *, text: str = "text", limit: int =
         return pa.array([counter.count(t.as_py() or "") for t in texts], pa.int64())
 
     names = ["n_bytes", "n_tokens", "over_limit"]
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in names]
-    body = F.col(f"`{text}`")
-    found = docs.select(*kept, F.coalesce(F.octet_length(body).cast("long"), F.lit(0).cast("long")).alias("n_bytes"),
+    kept, body = others(docs, *names), column(text)
+    found = docs.select(*kept, F.coalesce(F.octet_length(body), F.lit(0)).cast("long").alias("n_bytes"),
                         tokens(body).alias("n_tokens"))
     return found.select(*kept, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut
+from .columns import column
 from .vectors import matrix, sample_rows, usable, widened
 
 PIVOTS, SAMPLE = 64, 2048
@@ -104,7 +105,7 @@ def top_k(rows: DataFrame, is_query: Column, *, key: str = "vec_id", vector: str
     Queries and candidates are dealt into blocks; each pair of blocks is one bounded
     group.  Only ``SAMPLE`` rows reach the driver, for pivots and first scores.
     """
-    base = rows.select(F.col(f"`{key}`").alias("key"), F.col(f"`{vector}`").alias("vec"),
+    base = rows.select(column(key).alias("key"), column(vector).alias("vec"),
                        F.coalesce(is_query, F.lit(False)).alias("asks"))
     whole = F.transform("vec", lambda x: F.floor(F.lit(scale) * x.cast("double")))
     ready = cut(base.filter(usable(F.col("vec")) & F.col("key").isNotNull())

@@ -14,6 +14,8 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .columns import column, others, unused
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 REJECT = 100
 TERMS = {
@@ -108,15 +110,14 @@ def judge_urls(pages: DataFrame, url: str = "url", *, rules: Sequence[Rule] = RU
             [pa.array(column, pa.int32()) for column in (zip(*rows) if rows else ([], [], []))],
             fields=list(HITS_ARROW))
 
-    kept = [F.col(f"`{c}`") for c in pages.columns
-            if c not in ("host", "path", "rule", "verdict", "n_strict", "n_soft", "weight")]
-    address = F.col(f"`{url}`")
-    found = pages.select(
-        *kept, host_of(address).alias("host"), path_of(address).alias("path"),
-        hits(lower_ascii(address)).alias("_hits"))
-    ruled = found.withColumn("_rule", longest_rule(F.col("host"), F.col("path"), rules))
-    return ruled.select(
-        *kept, "host", "path", F.col("_rule.rule").alias("rule"),
-        F.coalesce("_rule.verdict", F.when(F.col("_hits.weight") >= reject, "block").otherwise("allow"))
+    names = ["host", "path", "rule", "verdict", "n_strict", "n_soft", "weight"]
+    kept, found, ruled = others(pages, *names), unused(pages, "_hits"), unused(pages, "_rule")
+    address = column(url)
+    judged = (pages.select(*kept, host_of(address).alias("host"), path_of(address).alias("path"),
+                           hits(lower_ascii(address)).alias(found))
+              .withColumn(ruled, longest_rule(F.col("host"), F.col("path"), rules)))
+    return judged.select(
+        *kept, "host", "path", F.col(f"{ruled}.rule").alias("rule"),
+        F.coalesce(f"{ruled}.verdict", F.when(F.col(f"{found}.weight") >= reject, "block").otherwise("allow"))
         .alias("verdict"),
-        "_hits.n_strict", "_hits.n_soft", "_hits.weight")
+        *[F.col(f"{found}.{name}").alias(name) for name in names[4:]])
