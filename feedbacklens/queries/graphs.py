@@ -106,14 +106,58 @@ def components(spark, sf):
     return graph.components(edges(spark, sf))
 
 
-@query()
+MERGES = 12  # more rounds than the data need; a round without mergers changes nothing
+MERGE_SQL = GRAPH_SQL + """,
+link0 AS MATERIALIZED (
+  SELECT label, a, b, weight FROM (
+    SELECT label, least(src, dst) AS a, greatest(src, dst) AS b,
+           CAST(round(max(score) * 1000000) AS HUGEINT) AS weight
+    FROM edge WHERE score > 0 AND src <> dst GROUP BY ALL) WHERE weight > 0),
+both0 AS MATERIALIZED (SELECT * FROM link0 UNION ALL SELECT label, b, a, weight FROM link0),
+total AS MATERIALIZED (SELECT label, sum(weight)::HUGEINT AS total FROM both0 GROUP BY label),
+home0 AS MATERIALIZED (SELECT label, a AS node, a AS home FROM both0 GROUP BY ALL)""" + "".join(f""",
+degree{k} AS MATERIALIZED (
+  SELECT h.label, h.home AS node, sum(b.weight)::HUGEINT AS degree
+  FROM home{k} h JOIN both0 b ON b.label = h.label AND b.a = h.node GROUP BY ALL),
+both{k + 1} AS MATERIALIZED (
+  SELECT b.label, x.home AS a, y.home AS b, sum(b.weight)::HUGEINT AS weight FROM both0 b
+  JOIN home{k} x ON x.label = b.label AND x.node = b.a JOIN home{k} y ON y.label = b.label AND y.node = b.b
+  WHERE x.home <> y.home GROUP BY ALL),
+wish{k} AS MATERIALIZED (
+  SELECT label, a AS node, degree,
+         arg_max(b, struct_pack(g := gain, l := -least(a, b), h := -greatest(a, b))) AS centre, max(gain) AS gain
+  FROM (SELECT l.label, l.a, l.b, x.degree, t.total * l.weight - x.degree * y.degree AS gain
+        FROM both{k + 1} l JOIN degree{k} x ON x.label = l.label AND x.node = l.a
+        JOIN degree{k} y ON y.label = l.label AND y.node = l.b JOIN total t ON t.label = l.label)
+  WHERE gain > 0 GROUP BY label, a, degree),
+move{k} AS MATERIALIZED (
+  SELECT label, node, centre FROM (
+    SELECT w.label, w.node, w.centre, w.gain, w.degree, coalesce(sum(w.degree) OVER (
+             PARTITION BY w.label, w.centre ORDER BY w.gain DESC, w.node
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS before
+    FROM wish{k} w WHERE EXISTS (
+      SELECT 1 FROM wish{k} c JOIN wish{k} p ON p.label = c.label AND p.node = c.centre
+      WHERE c.label = w.label AND c.node = w.centre AND p.centre = c.node AND c.node < p.node))
+  WHERE gain > degree * before),
+home{k + 1} AS MATERIALIZED (
+  SELECT h.label, h.node, coalesce(m.centre, h.home) AS home
+  FROM home{k} h LEFT JOIN move{k} m ON m.label = h.label AND m.node = h.home)""" for k in range(MERGES)) + f""",
+placed AS (
+  SELECT n.label, n.node, coalesce(h.home, n.node) AS home
+  FROM (SELECT label, src AS node FROM edge UNION SELECT label, dst FROM edge) n
+  LEFT JOIN home{MERGES} h ON h.label = n.label AND h.node = n.node)"""
+
+
+@query(f"""WITH {MERGE_SQL}
+SELECT label, node, min(node) OVER (PARTITION BY label, home) AS community FROM placed""")
 def communities(spark, sf):
     return graph.communities(edges(spark, sf))
 
 
-RANK_SQL = PART_SQL + """,
+RANKS = """,
 inner_edge AS (SELECT e.label, p.component AS community, e.src, e.dst FROM edge e
-  JOIN part p ON p.label = e.label AND p.node = e.src WHERE e.src <> e.dst),
+  JOIN part p ON p.label = e.label AND p.node = e.src
+  JOIN part q ON q.label = e.label AND q.node = e.dst AND q.component = p.component WHERE e.src <> e.dst),
 vertex AS (SELECT label, community, node, count(*) OVER (PARTITION BY label, community) AS n,
                   node NOT IN (SELECT src FROM inner_edge) AS dangling
   FROM (SELECT label, community, src AS node FROM inner_edge
@@ -129,6 +173,7 @@ rank{k} AS MATERIALIZED (
   LEFT JOIN (SELECT e.label, e.dst, sum(r.rank) AS flow FROM inner_edge e
              JOIN rank{k - 1} r ON r.label = e.label AND r.node = e.src GROUP BY e.label, e.dst) f
     ON f.label = v.label AND f.dst = v.node)""" for k in range(1, ROUNDS + 1))
+RANK_SQL = PART_SQL + RANKS
 
 
 @query(f"WITH RECURSIVE {RANK_SQL} SELECT label, community, node, round(rank, 6) AS rank FROM rank{ROUNDS}")
@@ -139,7 +184,7 @@ def pagerank(spark, sf):
     return ranks.withColumn("rank", F.round("rank", 6))
 
 
-@query(f"""WITH RECURSIVE {RANK_SQL},
+CHOICE = f""",
 community AS (SELECT label, component AS community, count(*) AS size, min(node) AS first
               FROM part GROUP BY label, component),
 kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY size DESC, community) AS place
@@ -151,8 +196,19 @@ scored AS (SELECT k.label, k.community, k.size, coalesce(t.t.node, k.first) AS n
                   coalesce(t.t.rank, 1.0) AS rank
            FROM kept k LEFT JOIN top t ON t.label = k.label AND t.community = k.community)
 SELECT label, community, size, node, round(rank, 6) AS rank,
-       round((size + rank) / max(size + rank) OVER (PARTITION BY label), 6) AS score FROM scored""")
+       round((size + rank) / max(size + rank) OVER (PARTITION BY label), 6) AS score FROM scored"""
+
+
+@query(f"WITH RECURSIVE {RANK_SQL}{CHOICE}")
 def ranked_concepts(spark, sf):
     chosen = graph.rank_concepts(edges(spark, sf), MAX_CONCEPTS, method="components",
                                  max_iter=ROUNDS, tol=None)
     return chosen.withColumn("rank", F.round("rank", 6)).withColumn("score", F.round("score", 6))
+
+
+@query(f"""WITH {MERGE_SQL},
+part AS (SELECT label, node, min(node) OVER (PARTITION BY label, home) AS component FROM placed)
+{RANKS}{CHOICE}""")
+def ranked_communities(spark, sf):
+    chosen = graph.rank_concepts(edges(spark, sf), MAX_CONCEPTS, max_iter=ROUNDS, tol=None)
+    return chosen.withColumn("rank", F.round("rank", 6)).withColumn("score", F.round("score", 6))

@@ -44,7 +44,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for one job's own files."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(_own_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return os.path.join(shared_dir(spark), f"feedbacklens-{spark.sparkContext.applicationId}")
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -56,4 +60,22 @@ def cut(df: DataFrame) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "cut")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    read = df.sparkSession.read.schema(df.schema).parquet(path)
+    read.cut_path = path
+    return read
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove ``cut`` tables that nothing reads any more, as a loop's earlier states."""
+    for table in tables:
+        _remove(table.sparkSession, table.cut_path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all files this application left in the shared folder, after its last action."""
+    _remove(spark, _own_dir(spark))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
