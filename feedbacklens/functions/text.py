@@ -28,8 +28,8 @@ def strip(text: Column) -> Column:
 
 
 def digits_key(key: Column) -> Column:
-    """The digits of a textual key as a long; null when there are none."""
-    return F.nullif(F.regexp_replace(key.cast("string"), "[^0-9]", ""), F.lit("")).cast("long")
+    """The digits of a textual key as a long; null when there are none or too many."""
+    return F.regexp_replace(key.cast("string"), "[^0-9]", "").try_cast("long")
 
 
 def one_line(text: Column) -> Column:

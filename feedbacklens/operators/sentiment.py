@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as T
+from ..session import small_side
 
 # Fixed values of the published scoring rule.
 NORMAL_ALPHA = 15.0
@@ -22,14 +23,13 @@ BOOSTERS = ["absolutely", "completely", "extremely", "highly", "most", "more", "
             "so", "totally", "very"]
 DAMPENERS = ["almost", "barely", "hardly", "less", "little", "partly", "slightly", "somewhat"]
 CONTRAST = ["but"]
-BROADCAST_LEXICON = 1_000_000
 
 
 def _sign(value: Column) -> Column:
     return F.when(value < 0, -1.0).otherwise(1.0)
 
 
-def sentiment(df: DataFrame, key: str, column: str, lexicon: DataFrame, lexicon_rows: int,
+def sentiment(df: DataFrame, key: str, column: str, lexicon: DataFrame,
               negators: Sequence[str] = NEGATORS, boosters: Sequence[str] = BOOSTERS,
               dampeners: Sequence[str] = DAMPENERS,
               contrast: Sequence[str] = CONTRAST) -> DataFrame:
@@ -50,7 +50,7 @@ def sentiment(df: DataFrame, key: str, column: str, lexicon: DataFrame, lexicon_
          + F.when(marks("?") > MOST_QUESTIONS, MANY_QUESTIONS)
          .when(marks("?") > 1, marks("?") * QUESTION).otherwise(0.0)).alias("_marks"),
     )
-    side = F.broadcast(lexicon) if lexicon_rows <= BROADCAST_LEXICON else lexicon
+    side = small_side(lexicon)
     rows = (
         docs.select(key, "_mixed", "_marks", F.posexplode_outer("_words").alias("_pos", "_token"))
         .withColumn("word", F.lower("_token"))
@@ -107,7 +107,7 @@ def distinct_concepts(ranked: DataFrame) -> DataFrame:
     return ranked.select(T.strip(F.col("concept")).alias("concept")).distinct()
 
 
-def binary_code(ranked: DataFrame, lexicon: DataFrame, lexicon_rows: int,
+def binary_code(ranked: DataFrame, lexicon: DataFrame,
                 concepts: Sequence[str], **rules) -> DataFrame:
     """One row per (sno, label, concept): score, sentiment, and 0/1 concept columns.
 
@@ -117,7 +117,7 @@ def binary_code(ranked: DataFrame, lexicon: DataFrame, lexicon_rows: int,
     """
     ranked = ranked.withColumn("concept", T.strip(F.col("concept")))
     scored = sentiment(
-        distinct_concepts(ranked), "concept", "concept", lexicon, lexicon_rows, **rules)
+        distinct_concepts(ranked), "concept", "concept", lexicon, **rules)
     scored = scored.select("concept", *[
         F.col(c).alias(f"sentiment_{c}") for c in ("positive", "negative", "neutral", "compound")])
     return ranked.join(scored, "concept").select(

@@ -37,7 +37,7 @@ def feedback_clean(spark, sf):
     docs = X.table(spark, sf, "documents").select(
         F.col("doc_id").alias("sno"), F.col("text").alias("feedback"),
         F.col("source").alias("label"), "lang")
-    files = [docs.filter("lang = 'en'"), docs.filter("lang <> 'en'")]
+    files = [docs.filter("lang = 'en'"), docs.filter("lang <> 'en' OR lang IS NULL")]
     return prepare.clean_feedback(prepare.append(files))
 
 

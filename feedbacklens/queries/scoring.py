@@ -81,8 +81,7 @@ senti AS (SELECT k, CASE WHEN p + n + z = 0 THEN 0 ELSE round(p / (p + n + z) +
 @query(f"""WITH body AS (SELECT doc_id AS k, text AS body FROM documents), {sentiment_sql('body')}
 SELECT k AS doc_id, positive, negative, neutral, compound FROM senti""")
 def sentiment(spark, sf):
-    return S.sentiment(X.table(spark, sf, "documents"), "doc_id", "text", lexicon(spark),
-                       len(LEXICON), **RULES)
+    return S.sentiment(X.table(spark, sf, "documents"), "doc_id", "text", lexicon(spark), **RULES)
 
 
 @query(f"""WITH ranked AS (
@@ -98,7 +97,7 @@ def binary_coded(spark, sf):
     coded, _ = prepare.prepare_feedback(X.feedback(spark, sf), X.concept_matrix(spark, sf))
     ranked = coded.select("sno", "label", "concept", F.round(
         F.lit(1.0) / (1 + F.col("sno") % 7), 6).alias("score"))
-    return S.binary_code(ranked, lexicon(spark), len(LEXICON), ["quality", "toxic"], **RULES)
+    return S.binary_code(ranked, lexicon(spark), ["quality", "toxic"], **RULES)
 
 
 def turn_pairs(spark, sf):
@@ -370,7 +369,8 @@ def stream_score(spark, sf):
 
 @query(f"""WITH {LOSS_SQL}, w AS (SELECT series, step, loss, running_avg, min(running_avg) OVER (
   PARTITION BY series ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM run)
-SELECT series, step, loss, round(running_avg, 6) AS running_avg, m IS NULL OR running_avg < m AS is_best FROM w""")
+SELECT series, step, loss, round(running_avg, 6) AS running_avg, m IS NULL OR running_avg < m AS is_best,
+  false AS late FROM w""")
 def stream_running_loss(spark, sf):
     stream = _stream(spark, sf, "events").select(
         F.col("user_id").alias("series"), F.col("event_id").alias("step"), F.col("value").alias("loss"))

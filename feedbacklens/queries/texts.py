@@ -194,7 +194,7 @@ def corpus_vectors(spark, sf):
     """Word vectors: the most frequent corpus words get the embedding rows in order."""
     from ..operators.vocab import assign_ids
 
-    ids = assign_ids(corpus_words(spark, sf), 2_000)
+    ids = assign_ids(corpus_words(spark, sf))
     return ids.join(
         X.table(spark, sf, "embeddings").select(
             F.col("vec_id").cast("int").alias("id"), F.col("embedding").alias("vec")), "id"
@@ -205,7 +205,7 @@ CORPUS_VECTOR_SQL = CORPUS_SQL + """,
 word_vector AS (
   SELECT word, CAST(e.embedding AS DOUBLE[]) AS vec FROM (
     SELECT word, row_number() OVER (ORDER BY cnt DESC, word) + 3 AS id FROM corpus) r
-  JOIN embeddings e ON e.vec_id = r.id WHERE r.id < 2000)"""
+  JOIN embeddings e ON e.vec_id = r.id)"""
 
 
 @query(f"""WITH {CORPUS_VECTOR_SQL},

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def local_session(cores: str = "8", shuffle_partitions: int | None = None) -> SparkSession:
@@ -23,6 +24,26 @@ def local_session(cores: str = "8", shuffle_partitions: int | None = None) -> Sp
     )
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, once per application.
+
+    Functions that run in Python on executors are imported there by name; a package that
+    is installed or on the workers' path does not need this.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="feedbacklens-"), "feedbacklens"), "zip",
+        os.path.dirname(package), os.path.basename(package))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
@@ -65,6 +86,15 @@ def cut(df: DataFrame) -> DataFrame:
     return read
 
 
+#: Rows of a table of words up to which it is sent to every task (tens of megabytes).
+SMALL_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it is counted to be small; else both sides are shuffled."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def release(*tables: DataFrame) -> None:
     """Remove ``cut`` tables that nothing reads any more, as a loop's earlier states."""
     for table in tables:

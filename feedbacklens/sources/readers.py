@@ -10,6 +10,7 @@ FEEDBACK_SCHEMA = "sno string, feedback string, label string, category string"
 UNMATCHED_SCHEMA = "index long, sno long, feedback string, label string"
 MATCHED_SCHEMA = "index long, sno long, feedback string, label string, concept string"
 RANKED_SCHEMA = "label string, sno long, concept string, score double"
+FEW_SPLITS = 16
 PARAMETERS = {
     "simthreshold": float, "max_concepts": int, "labelmatch": int, "minimum_feedbacks": int,
 }
@@ -18,10 +19,12 @@ PARAMETERS = {
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give an input with fewer partitions than cores one partition per core.
 
-    Inputs of normal size have more splits than cores and stay as they are.
+    Only an input of a few splits, a gigabyte or two, is dealt anew; larger ones stay
+    where they are, whatever the number of cores.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    splits = df.rdd.getNumPartitions()
+    return df if splits >= min(cores, FEW_SPLITS) else df.repartition(cores, key)
 
 
 def _tsv(spark: SparkSession, schema: str, header: bool):
@@ -90,7 +93,9 @@ def records(spark: SparkSession, glob: str) -> DataFrame:
 def vocabulary(spark: SparkSession, path: str, max_size: int = 0) -> DataFrame:
     from ..operators.vocab import vocab_from_lines
 
-    return vocab_from_lines(spark.read.text(path), max_size)
+    # lines of one task come in the order of the file; its tasks by where their part begins
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    return vocab_from_lines(spark.read.text(path).select("value", place.alias("place")), max_size)
 
 
 def word_vectors(spark: SparkSession, path: str) -> DataFrame:
@@ -129,7 +134,7 @@ def names(spark: SparkSession, path: str) -> DataFrame:
 def parameters(spark: SparkSession, path: str) -> dict:
     """The four run parameters from a small ``name=value`` file, matched by name."""
     values = {}
-    for row in spark.read.text(path).filter("value <> ''").limit(len(PARAMETERS) + 1).collect():
+    for row in spark.read.text(path).filter("value <> ''").toLocalIterator():
         name, mark, value = row.value.partition("=")
         if not mark or name not in PARAMETERS:
             raise ValueError(f"expected one of {sorted(PARAMETERS)}=<value>, got {row.value!r}")

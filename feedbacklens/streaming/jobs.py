@@ -37,7 +37,7 @@ def append_files(stream: DataFrame, out: str) -> StreamingQuery:
     )
 
 
-LOSS_SCHEMA = "series long, step long, loss double, running_avg double, is_best boolean"
+LOSS_SCHEMA = "series long, step long, loss double, running_avg double, is_best boolean, late boolean"
 LOSS_STATE = "running_avg double, best double, last long"
 
 
@@ -45,8 +45,10 @@ def running_loss_stream(metrics: DataFrame, decay: float = DECAY,
                         clip: float = CLIP) -> DataFrame:
     """Running average and best-so-far of a ``(series, step, loss)`` stream.
 
-    A series keeps its average, best value and last step between micro-batches.
-    Steps at or before the last one seen are dropped.
+    A series keeps its average, best value and last step between micro-batches.  A step
+    at or before the last one seen comes too late for the average: it is returned with
+    ``late`` set and without values, so that late rows can be counted and the series
+    computed anew by the batch operator.  Without late rows both give the same values.
     """
 
     def update(key: tuple, batches: Iterator[pd.DataFrame],
@@ -56,15 +58,16 @@ def running_loss_stream(metrics: DataFrame, decay: float = DECAY,
         out = []
         for step, loss in zip(rows["step"], rows["loss"]):
             if last is not None and step <= last:
+                out.append((key[0], int(step), loss, None, None, True))
                 continue
             average = loss if average == 0 else average * decay + (1 - decay) * loss
             average = min(average, clip)
             better = best is None or average < best
             best = average if better else best
             last = int(step)
-            out.append((key[0], last, loss, average, bool(better)))
+            out.append((key[0], last, loss, average, bool(better), False))
         state.update((float(average), best, last))
-        yield pd.DataFrame(out, columns=["series", "step", "loss", "running_avg", "is_best"])
+        yield pd.DataFrame(out, columns=["series", "step", "loss", "running_avg", "is_best", "late"])
 
     return metrics.groupBy("series").applyInPandasWithState(
         update, LOSS_SCHEMA, LOSS_STATE, "append", GroupStateTimeout.NoTimeout)

@@ -67,3 +67,31 @@ def test_stream_over_several_files_equals_batch(spark, tmp_path):
     want = metrics.running_loss(df, "series", "step", "loss")
     joined = got.join(want.withColumnRenamed("running_avg", "w").drop("loss"), ["series", "step"])
     assert joined.count() == 120 and joined.filter("abs(running_avg - w) > 1e-9").isEmpty()
+
+
+def test_late_steps_are_returned_and_marked(spark, tmp_path):
+    rows = [(1, i, float(i % 5)) for i in range(20)]
+    df = spark.createDataFrame(rows, "series long, step long, loss double")
+    for part in (0, 1):  # odd steps come after all even ones
+        df.filter(F.col("step") % 2 == part).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = jobs.file_stream(spark, str(tmp_path / "in"), df.schema, files_per_batch=1)
+    got = jobs.run_to_table(spark, jobs.running_loss_stream(stream), "late").collect()
+    assert sorted((r.step, r.loss) for r in got) == [(i, float(i % 5)) for i in range(20)]
+    assert sorted(r.step for r in got if r.late) == list(range(1, 19, 2))
+    assert all((r.running_avg is None) == r.late for r in got)
+
+
+def test_all_parameter_lines_are_read(spark, tmp_path):
+    (tmp_path / "p.txt").write_text("simthreshold=0.9\n" * 7 + "nonsense=1\n")
+    with pytest.raises(ValueError):
+        readers.parameters(spark, str(tmp_path / "p.txt"))
+
+
+def test_scratch_files_can_be_removed(spark):
+    import os
+
+    from feedbacklens import session
+
+    one, two = session.cut(spark.range(3)), session.cut(spark.range(4))
+    session.release(one)
+    assert not os.path.exists(one.cut_path.removeprefix("file:")) and two.count() == 4

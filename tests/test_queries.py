@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from feedbacklens.queries.check import connect, difference
+from sql_check import connect, difference
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")

@@ -5,6 +5,7 @@ from pyspark.sql import Row, functions as F
 
 from feedbacklens.functions import matching, text as T
 from feedbacklens.operators import batches, keyphrases, lexical, prepare, stories, titles, vocab
+from feedbacklens.sources import readers
 
 
 def one(spark, value, expr, column="x", kind="string"):
@@ -117,9 +118,11 @@ def test_highlight(spark, small_vocab):
 
 
 def test_vocab_file_validation(spark):
-    lines = lambda *x: spark.createDataFrame([(v,) for v in x], "value string")
-    good = vocab.vocab_from_lines(lines("a 5", "b 7", "c", "d 1 2"), 5)
-    assert {(r.word, r.id) for r in good.collect() if r.id >= 4} == {("b", 4)}
+    lines = lambda *x: spark.createDataFrame([(v, i) for i, v in enumerate(x)], "value string, place int")
+    good = vocab.vocab_from_lines(lines("zeta 5", "alpha 5", "c", "d 1 2", "b 7"), 6)
+    assert {(r.word, r.id) for r in good.collect() if r.id >= 4} == {("zeta", 4), ("alpha", 5)}
+    many = vocab.vocab_from_lines(lines(*[f"w{i} 1" for i in range(300)]))
+    assert {r.word: r.id for r in many.collect() if r.id >= 4} == {f"w{i}": i + 4 for i in range(300)}
     with pytest.raises(Exception, match="reserved word"):
         vocab.vocab_from_lines(lines("[PAD] 5")).collect()
     with pytest.raises(Exception, match="duplicated word"):
@@ -183,3 +186,29 @@ def test_spelling_and_lemmas(spark):
 def test_period_sentences(spark):
     assert one(spark, "a b . c . d", T.period_sentences(F.col("x"))) == ["a b .", "c .", "d"]
     assert one(spark, "a . . b", T.period_sentences(F.col("x"))) == ["a .", ".", "b"]
+
+
+def test_top_words_end_inside_a_frequency(spark):
+    counts = spark.createDataFrame([(f"w{i:02}", 9 - i // 5) for i in range(40)], "word string, cnt long")
+    for limit in (0, 1, 7, 10, 39, 40, 60):
+        got = vocab.top_words(counts.repartition(5), limit).orderBy("word").collect()
+        assert [r.word for r in got] == [f"w{i:02}" for i in range(min(limit, 40))]
+
+
+def test_reserved_words_are_reported(spark):
+    records = spark.createDataFrame([("[UNK] a a", "<s> b <s> </s>")], "article string, abstract string")
+    assert {r.word for r in vocab.build_vocab(records).collect() if r.id >= 4} == {"a", "b"}
+    assert [tuple(r) for r in vocab.reserved_words(records).collect()] == [("[UNK]", 1)]
+
+
+def test_keys_too_long_for_a_number(spark):
+    rows = spark.createDataFrame([("1" * 20, "t", "l"), ("no", "t", "l"), (" 12a", "t", "l")], "sno string, feedback string, label string")
+    assert [r.sno for r in prepare.clean_feedback(rows).collect()] == [12]
+    assert prepare.rejected_feedback(rows).count() == 2
+
+
+def test_headers_in_any_case(spark, tmp_path):
+    (tmp_path / "c.tsv").write_text("SNO\tDate\tIssue\tLong Queue\tFees\n1\tx\tabc\t1\t0\n2\tx\tdef\t1\t1\n")
+    rows = prepare.concept_rows(readers.concept_matrices(spark, [str(tmp_path / "c.tsv")])).collect()
+    assert sorted((r.sno, r.issue, r.concept) for r in rows) == [
+        (1, "abc", "long queue"), (2, "def", "fees"), (2, "def", "long queue")]
