@@ -140,3 +140,131 @@ SELECT e.vec_id, coalesce(counts.n, 0)::BIGINT AS n_links, parts.component_id,
 FROM embeddings e JOIN parts ON parts.node = e.vec_id LEFT JOIN counts ON counts.a = e.vec_id
 """,
 }
+
+
+def _fill_sql(table: str, family: str, name: str) -> str:
+    """DuckDB: share a family's budget by weight up to each member's cap."""
+    return f"""
+  SELECT *, CASE WHEN is_full THEN cap ELSE CAST(floor(rest_left * weight / rest_weight) AS BIGINT) END AS quota
+  FROM (
+    SELECT *, arg_min(CASE WHEN NOT is_full THEN left_over END, CASE WHEN NOT is_full THEN place END)
+                OVER (PARTITION BY {family}) AS rest_left,
+              arg_min(CASE WHEN NOT is_full THEN onward END, CASE WHEN NOT is_full THEN place END)
+                OVER (PARTITION BY {family}) AS rest_weight
+    FROM (
+      SELECT *, cap * onward <= left_over * weight AS is_full FROM (
+        SELECT *, greatest(budget - coalesce(sum(cap) OVER (PARTITION BY {family} ORDER BY place
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0) AS left_over,
+               sum(weight) OVER (PARTITION BY {family} ORDER BY place
+                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS onward
+        FROM (SELECT *, row_number() OVER (PARTITION BY {family} ORDER BY cap / weight, {name}) AS place
+              FROM {table}))))"""
+
+
+def _weights_sql(name: str, weights: dict[str, int]) -> str:
+    return f"CASE {name} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in sorted(weights.items())) + " ELSE 1 END"
+
+
+ORACLE["op10_mixing"] = f"""
+WITH doc AS (
+  SELECT doc_id, coalesce(lang, '') AS l, coalesce(source, '') AS s, lang, source,
+         'd' || coalesce(TRY_CAST(regexp_extract(coalesce(source, ''), '([0-9]{{1,9}})$', 1) AS BIGINT), 0) % 4 AS domain,
+         len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+'))::BIGINT AS tokens
+  FROM documents),
+leaf AS (SELECT domain, l, s, sum(tokens)::BIGINT AS total FROM doc GROUP BY ALL),
+domain_node AS (
+  SELECT 0 AS root, domain, sum(total)::BIGINT * {mixing.MAX_EPOCHS} AS cap,
+         {_weights_sql("domain", mixing.DOMAIN_WEIGHTS)} AS weight,
+         (SELECT CAST(floor(sum(total) * {mixing.BUDGET_SHARE}) AS BIGINT) FROM leaf) AS budget
+  FROM leaf GROUP BY domain),
+domain_plan AS ({_fill_sql("domain_node", "root", "domain")}),
+lang_node AS (
+  SELECT leaf.domain, l, sum(total)::BIGINT * {mixing.MAX_EPOCHS} AS cap,
+         {_weights_sql("l", mixing.LANG_WEIGHTS)} AS weight, any_value(p.quota) AS budget
+  FROM leaf JOIN domain_plan p ON p.domain = leaf.domain GROUP BY ALL),
+lang_plan AS ({_fill_sql("lang_node", "domain", "l")}),
+source_node AS (
+  SELECT leaf.domain, leaf.l, s, total, total * {mixing.MAX_EPOCHS} AS cap, 1 AS weight, p.quota AS budget
+  FROM leaf JOIN lang_plan p ON p.domain = leaf.domain AND p.l = leaf.l),
+source_plan AS ({_fill_sql("source_node", "domain, l", "s")}),
+read AS (
+  SELECT doc.*, e.epoch, p.quota - (e.epoch - 1) * p.total AS quota,
+         md5('{mixing.SEED}:' || e.epoch || ':' || coalesce(doc_id::VARCHAR, '')) AS rank
+  FROM doc JOIN source_plan p USING (domain, l, s)
+  JOIN (SELECT unnest(range(1, {mixing.MAX_EPOCHS} + 1)) AS epoch) e
+    ON p.quota > 0 AND e.epoch <= ceil(p.quota / greatest(p.total, 1)))
+SELECT doc_id, domain, lang, source, epoch::INTEGER AS epoch, tokens FROM (
+  SELECT *, coalesce(sum(tokens) OVER (PARTITION BY domain, l, s, epoch ORDER BY rank, doc_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS passed FROM read)
+WHERE passed < quota
+"""
+
+_RUNS = secrets.RUN + "{%d,}"
+_SPANS = """list_transform(
+    range(1, len(m) + 1),
+    lambda i: {{'b': (list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0))::INTEGER,
+               'k': {kind}, 'e': (list_sum(list_transform(p[1:i], lambda x: length(x))) + list_sum(list_transform(m[1:i], lambda x: length(x))))::INTEGER,
+               'm': m[i]}})"""
+
+
+def _spans_sql(pattern: str, kind: int) -> str:
+    quoted = pattern.replace("'", "''")
+    return f"""SELECT uid, {_SPANS.format(kind=kind)} AS spans FROM (
+    SELECT uid, string_split_regex(t, '{quoted}') AS p, regexp_extract_all(t, '{quoted}') AS m
+    FROM doc WHERE regexp_matches(t, '{quoted}'))"""
+
+
+def _secrets_sql() -> str:
+    assign = secrets.ASSIGN.replace("'", "''")
+    size, shown = len(secrets.ALPHABET), ", ".join(f"'{k}'" for k in secrets.KINDS)
+    listed = ("array_to_string(list_transform({0}, lambda z: ([" + shown + "])[z.k + 1] || ':' || z.b || ':' || z.e), ',')")
+    return f"""
+WITH doc AS MATERIALIZED (
+  SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS t, md5(doc_id::VARCHAR) AS rank FROM documents),
+found AS MATERIALIZED (
+  {_spans_sql(secrets.ASSIGN, 0)} UNION ALL {_spans_sql(secrets.ACCESS, 1)} UNION ALL {_spans_sql(secrets.HEX, 2)}
+  UNION ALL {_spans_sql(_RUNS % secrets.JUDGED, 3)}),
+span AS MATERIALIZED (
+  SELECT uid, s.b, s.k, s.e, s.m FROM (SELECT uid, unnest(spans) AS s FROM found)
+  WHERE s.k <> 0 OR length(regexp_extract(s.m, '{assign}', 2)) >= {secrets.SHORTEST_VALUE}),
+taught AS (
+  SELECT * FROM doc WHERE rank <= (SELECT max(rank) FROM (
+    SELECT rank FROM doc WHERE rank IS NOT NULL ORDER BY rank LIMIT {secrets.TRAIN_DOCS}))),
+sample AS (
+  SELECT true AS random, unnest(list_transform(regexp_extract_all(t, '{assign}', 2), lambda v: replace(v, '.', ''))) AS value FROM taught
+  UNION ALL SELECT true, unnest(regexp_extract_all(t, '{secrets.ACCESS}')) FROM taught
+  UNION ALL SELECT true, unnest(regexp_extract_all(t, '{secrets.HEX}')) FROM taught
+  UNION ALL SELECT true, to_base64(unhex(sha256(rank))) FROM taught
+  UNION ALL SELECT true, sha256(rank)[1:40] FROM taught
+  UNION ALL SELECT false, unnest(regexp_extract_all(regexp_replace(regexp_replace(regexp_replace(
+    t, '{assign}', ' ', 'g'), '{secrets.ACCESS}', ' ', 'g'), '{secrets.HEX}', ' ', 'g'), '{_RUNS % secrets.TAUGHT}')) FROM taught),
+pair AS (
+  SELECT random, value[i:i] AS a, value[i+1:i+1] AS b, count(*) AS n
+  FROM (SELECT random, value, unnest(range(1, length(value))) AS i FROM sample WHERE length(value) > 1) GROUP BY ALL),
+letter AS (SELECT unnest(string_split('{secrets.ALPHABET}', '')) AS c),
+chance AS (
+  SELECT r.random, x.c AS a, y.c AS b,
+         (coalesce(p.n, 0) + 1) / (coalesce(sum(p.n) OVER (PARTITION BY r.random, x.c), 0) + {size}) AS p
+  FROM (VALUES (true), (false)) r(random) CROSS JOIN letter x CROSS JOIN letter y
+  LEFT JOIN pair p ON p.random = r.random AND p.a = x.c AND p.b = y.c),
+ratio AS MATERIALIZED (
+  SELECT u.a, u.b, CAST(floor(1000 * ln(u.p / v.p) + 0.5) AS BIGINT) AS w
+  FROM chance u JOIN chance v ON u.random AND NOT v.random AND u.a = v.a AND u.b = v.b),
+judged AS (SELECT DISTINCT m FROM span WHERE k = 3),
+score AS (
+  SELECT m, sum(w) AS w FROM (SELECT m, unnest(range(1, length(m))) AS i FROM judged) j
+  JOIN ratio ON ratio.a = m[i:i] AND ratio.b = m[i+1:i+1] GROUP BY m),
+kept AS (
+  SELECT s.uid, s.b, s.k, s.e FROM span s LEFT JOIN score USING (m)
+  WHERE s.k < 3 OR (score.w >= {secrets.LEAST} AND score.w >= {secrets.LEAST_EACH} * length(s.m)
+    AND NOT EXISTS (SELECT 1 FROM span o WHERE o.uid = s.uid AND o.k < 3 AND o.b < s.e AND s.b < o.e))),
+listed AS (
+  SELECT uid, list({{'b': b, 'k': k, 'e': e}} ORDER BY b, k, e) AS s FROM kept GROUP BY uid)
+SELECT doc_id, {", ".join(f"len(list_filter(coalesce(s, []), lambda x: x.k = {i}))::BIGINT AS n_{name}" for i, name in enumerate(secrets.KINDS))},
+  sha256(coalesce({listed.format("list_filter(s, lambda x: x.k < 3)")}, '')) AS base_sha256,
+  coalesce({listed.format("s")}, '') AS spans
+FROM doc LEFT JOIN listed USING (uid)
+"""
+
+
+ORACLE["op3_secrets"] = _secrets_sql()
