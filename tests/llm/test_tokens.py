@@ -64,6 +64,7 @@ def test_encode_and_decode_tables(spark, library):
     docs = spark.createDataFrame(rows, "doc_id long, text string, _digest string")
     ids = byte_bpe.encode_texts(docs, RANKS)
     got = byte_bpe.decode_ids(ids, RANKS).orderBy("doc_id").collect()
+    assert all(r.round_trip for r in got)
     assert [r.token_ids for r in got] == [library.encode_ordinary(t or "") for _, t, _ in rows]
     assert [bytes(r.decoded) for r in got] == [(t or "").encode() for _, t, _ in rows]
     digest = byte_bpe.encoded_digest(docs, RANKS).orderBy("doc_id").collect()
