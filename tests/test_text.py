@@ -212,3 +212,11 @@ def test_headers_in_any_case(spark, tmp_path):
     rows = prepare.concept_rows(readers.concept_matrices(spark, [str(tmp_path / "c.tsv")])).collect()
     assert sorted((r.sno, r.issue, r.concept) for r in rows) == [
         (1, "abc", "long queue"), (2, "def", "fees"), (2, "def", "long queue")]
+
+
+def test_joined_and_sent_vocabulary_agree(spark, small_vocab, monkeypatch):
+    docs = spark.createDataFrame([(1, ["the", "zebra", "cat"]), (2, []), (3, ["cat", "cat"])], "k int, w array<string>")
+    sent = {r.k: (r.w, r.i) for r in vocab.lookup_ids(docs, small_vocab, "k", "w", "i").collect()}
+    monkeypatch.setattr(vocab, "SMALL_ROWS", 0)
+    joined = {r.k: (r.w, r.i) for r in vocab.lookup_ids(docs, small_vocab, "k", "w", "i").collect()}
+    assert sent[1] == joined[1] and sent[3] == joined[3] and sent[2] == ([], [])
