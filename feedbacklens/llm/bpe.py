@@ -37,12 +37,15 @@ class Merges:
             parts[at:at + 2] = [best[1]]
         return parts
 
+    def forget(self) -> None:
+        self._fits = {}
+
     def fit(self, left: Hashable, right: Hashable) -> bool:
         """Whether the text of ``left`` + ``right`` is encoded as just these two."""
         pair = (left, right)
         known = self._fits.get(pair)
         if known is None:
-            if len(self._fits) > 1_000_000:
+            if len(self._fits) > 250_000:
                 self._fits.clear()  # a memo: clearing costs time only
             known = self.merge(self.symbols[left] + self.symbols[right]) == [left, right]
             self._fits[pair] = known

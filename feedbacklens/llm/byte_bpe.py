@@ -10,7 +10,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 from os.path import commonprefix
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .bpe import Merges
 from .columns import column, others, unused
 
-CACHED = 200_000
+CACHED = 100_000
 ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 #: fixed value: the pattern that the public rank files are used with
 PUBLIC_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -156,10 +156,17 @@ class TextEncoder:
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
 
+    def forget(self) -> None:
+        """Give back what the texts so far have left, at the end of a task."""
+        self.known, self.older = {}, {}
+        self.encoder.resume(b"", 0)
+        self.encoder.merges.forget()
+        pa.default_memory_pool().release_unused()
+
 
 @lru_cache(maxsize=2)
 def encoder_for(lines: bytes, pattern: str) -> TextEncoder:
-    """One per worker process, so that what it has learnt serves the next task too."""
+    """One per worker process: its tables are built once."""
     return TextEncoder(read_ranks(lines), pattern)
 
 
@@ -169,11 +176,11 @@ def broadcast_file(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(file.read())
 
 
-def groups(texts: list[str | None], limit: int = 2_000_000) -> Iterable[list[str]]:
+def groups(texts: Iterable[pa.StringScalar], limit: int = 2_000_000) -> Iterable[list[str]]:
     """Texts in runs of about ``limit`` characters; null counts as empty."""
     run, size = [], 0
     for text in texts:
-        run.append(text or "")
+        run.append(text.as_py() or "")
         size += len(run[-1])
         if size >= limit:
             yield run
@@ -183,22 +190,32 @@ def groups(texts: list[str | None], limit: int = 2_000_000) -> Iterable[list[str
 
 
 def encode_texts(docs: DataFrame, path: str, *, pattern: str = PUBLIC_PATTERN, text: str = "text",
-                 ids: str = "token_ids") -> DataFrame:
-    """Add the array column ``ids`` (replaced if present); null and empty texts have none.
+                 ids: str = "token_ids", same: str = "round_trip") -> DataFrame:
+    """Add the array column ``ids`` and, in the same pass, whether decoding gives the text
+    again (columns of these names are replaced); null and empty texts have no ids.
 
     Any length and any characters are encoded as the public library would; repeated
     rows get equal ids, an empty table stays empty, other columns are kept.
     """
     file = broadcast_file(docs.sparkSession, path)
+    kind = pa.struct([("ids", pa.list_(pa.int32())), ("same", pa.bool_())])
 
-    @F.arrow_udf("array<int>")
-    def encode(texts: pa.Array) -> pa.Array:
+    @F.arrow_udf("struct<ids:array<int>,same:boolean>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = encoder_for(file.value, pattern)
-        found = [pa.array(encoder.encode_all(run), pa.list_(pa.int32()))
-                 for run in groups(texts.to_pylist())]
-        return pa.chunked_array(found, pa.list_(pa.int32())).combine_chunks()
+        for texts in batches:
+            found = []
+            for run in groups(texts):
+                rows = encoder.encode_all(run)
+                same = [encoder.decode(row) == text.encode() for row, text in zip(rows, run)]
+                found.append(pa.StructArray.from_arrays(
+                    [pa.array(rows, pa.list_(pa.int32())), pa.array(same)], fields=list(kind)))
+            yield pa.chunked_array(found, kind).combine_chunks()
+        encoder.forget()
 
-    return docs.withColumn(ids, encode(column(text)))
+    kept, made = others(docs, ids, same), unused(docs, "_encoded")
+    return docs.select(*kept, encode(column(text)).alias(made)).select(
+        *kept, F.col(f"{made}.ids").alias(ids), F.col(f"{made}.same").alias(same))
 
 
 def decode_ids(docs: DataFrame, path: str, *, ids: str = "token_ids", decoded: str = "decoded") -> DataFrame:
@@ -225,20 +242,23 @@ def encoded_digest(docs: DataFrame, path: str, *, pattern: str = PUBLIC_PATTERN,
     """
     file = broadcast_file(docs.sparkSession, path)
 
+    names = ["n_tokens", "ids_sha256", "decoded_sha256"]
+
     @F.arrow_udf(DIGEST)
-    def digest(texts: pa.Array) -> pa.Array:
+    def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = encoder_for(file.value, pattern)
-        counts, hashes, decoded = [], [], []
-        for run in groups(texts.to_pylist()):
-            for ids in encoder.encode_all(run):
-                counts.append(len(ids))
-                hashes.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
-                decoded.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
-        return pa.StructArray.from_arrays(
-            [pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())],
-            names=["n_tokens", "ids_sha256", "decoded_sha256"])
+        for texts in batches:
+            counts, hashes, decoded = [], [], []
+            for run in groups(texts):
+                for ids in encoder.encode_all(run):
+                    counts.append(len(ids))
+                    hashes.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+                    decoded.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
+            yield pa.StructArray.from_arrays(
+                [pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())],
+                names=names)
+        encoder.forget()
 
-    names = ["n_tokens", "ids_sha256", "decoded_sha256"]
     kept, made = others(docs, *names), unused(docs, "_digest")
     found = docs.select(*kept, digest(column(text)).alias(made))
     return found.select(*kept, *[F.col(f"{made}.{name}").alias(name) for name in names])

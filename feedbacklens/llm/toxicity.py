@@ -155,15 +155,14 @@ def score_texts(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text
     for c in COUNTS:
         full[c][table.column("entry").to_numpy()] = table.column(c).to_numpy()
     # fold 0 is judged by the counts of fold 2 and the other way round
-    models = spark.sparkContext.broadcast(
-        {0: Model(full["o2"], full["t2"]), 2: Model(full["o0"], full["t0"]), None: Model(full["o"], full["t"])})
+    halves = spark.sparkContext.broadcast({0: Model(full["o2"], full["t2"]), 2: Model(full["o0"], full["t0"])})
 
     def binned(batches):
         for batch in batches:
             folds, truth = batch.column("fold").to_numpy(), batch.column("label").to_numpy()
             for f in (0, 2):
                 mine = np.flatnonzero(folds == f)
-                z = stretched(models.value[f].evidence(batch.column("text").take(pa.array(mine))))
+                z = stretched(halves.value[f].evidence(batch.column("text").take(pa.array(mine))))
                 bins = np.clip((z - LOW) / (HIGH - LOW) * BINS, 0, BINS - 1).astype(np.int64)
                 cells, n = np.unique(bins * 2 + (truth[mine] > 0), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
@@ -176,9 +175,12 @@ def score_texts(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text
     slope, intercept = logistic(middle, cells.column("label").to_numpy().astype(float),
                                 cells.column("n").to_numpy().astype(float))
 
+    halves.unpersist()
+    whole = spark.sparkContext.broadcast(Model(full["o"], full["t"]))
+
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        z = slope * stretched(models.value[None].evidence(texts)) + intercept
+        z = slope * stretched(whole.value.evidence(texts)) + intercept
         return pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))
 
     names = ["held_out", "score", "predicted"]
