@@ -204,13 +204,12 @@ def encode_texts(docs: DataFrame, path: str, *, pattern: str = PUBLIC_PATTERN, t
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = encoder_for(file.value, pattern)
         for texts in batches:
-            found = []
             for run in groups(texts):
                 rows = encoder.encode_all(run)
                 same = [encoder.decode(row) == text.encode() for row, text in zip(rows, run)]
-                found.append(pa.StructArray.from_arrays(
-                    [pa.array(rows, pa.list_(pa.int32())), pa.array(same)], fields=list(kind)))
-            yield pa.chunked_array(found, kind).combine_chunks()
+                # one run at a time: what waits between Python and the JVM stays small
+                yield pa.StructArray.from_arrays(
+                    [pa.array(rows, pa.list_(pa.int32())), pa.array(same)], fields=list(kind))
         encoder.forget()
 
     kept, made = others(docs, ids, same), unused(docs, "_encoded")
