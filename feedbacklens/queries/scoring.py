@@ -304,10 +304,10 @@ def masked_mean(spark, sf):
 @query()
 def attention_json(spark, sf):
     docs = X.table(spark, sf, "documents").select("doc_id", "text")
-    rows = docs.join(X.table(spark, sf, "embeddings").withColumnRenamed("vec_id", "doc_id"), "doc_id")
+    rows = docs.join(X.table(spark, sf, "embeddings").withColumnRenamed("vec_id", "doc_id"), "doc_id", "left")
+    weights = F.array_compact(F.array(F.col("embedding").cast("array<double>")))  # empty without an embedding
     return rows.select("doc_id", hypotheses.attention_json(
-        F.col("text"), T.words(F.col("text")), F.col("text"),
-        F.array(F.col("embedding").cast("array<double>"))).alias("json"))
+        F.col("text"), T.words(F.col("text")), F.col("text"), weights).alias("json"))
 
 
 @query()
