@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import cut
-from .columns import column
+from ..session import cut, small_side
+from .columns import column, unused
 from .components import components
 
 BITS, SEED, BLOCK = 64, 42, 1 << 14
@@ -104,6 +104,28 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
             .select(F.col("key").alias(key), "fp", "component"))
 
 
+def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
+                radius: int = 2, words: int = 3) -> DataFrame:
+    """One row of each group of near-duplicates: that with the smallest key, a null key last.
+
+    Rows that share the smallest key are told apart by their text, and rows that repeat key
+    and text give one row.  Null, empty and blank texts are one group; very long texts are
+    compared whole; an empty table stays empty; columns of any other name are kept.
+    """
+    own, place = unused(docs, "_place"), F.struct(
+        column(key).isNull().alias("none"), column(key).alias("key"), F.xxhash64(column(text)).alias("text"))
+    placed = docs.withColumn(own, place)
+    found = cut(near_duplicates(placed.select(own, column(text)), key=own, text=text, radius=radius, words=words))
+    gone = cut(found.filter(F.col(own) != F.col("component")).select(own).distinct())
+    repeated = cut(found.filter(F.col(own) == F.col("component")).groupBy(own).agg(F.count("*").alias("n"))
+                   .filter("n > 1").select(own))
+    rest = placed.join(small_side(gone), own, "left_anti")
+    if repeated.isEmpty():
+        return rest.drop(own)
+    once = rest.join(small_side(repeated), own, "left_semi").dropDuplicates([own])
+    return rest.join(small_side(repeated), own, "left_anti").unionByName(once).drop(own)
+
+
 def hex_digits(fp: Column) -> Column:
     """16 lower-case hexadecimal digits."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")

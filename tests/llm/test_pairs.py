@@ -187,3 +187,16 @@ def test_distant_halves_are_skipped():
     np.fill_diagonal(near, False)
     assert (work.links_a == near.sum(axis=1)).all()
     assert sum(seen) < 0.45 * 600 * 600
+
+
+def test_one_of_each(spark):
+    """Null ids last, ids shared by different texts, rows that repeat, a clashing extra column."""
+    long = " ".join(f"w{i}" for i in range(30_000))
+    rows = [(3, "a b c d"), (1, "a b c d"), (None, "a b c d"), (4, long), (4, long), (5, "x y z"), (5, "p q r s t"),
+            (None, "only here"), (None, "only here"), (7, None), (6, ""), (None, " ")]
+    docs = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rows)], "doc_id long, text string, _place int")
+    got = [(r.doc_id, r.text) for r in simhash.one_of_each(docs).collect()]
+    assert sorted(got, key=str) == sorted(
+        [(1, "a b c d"), (4, long), (5, "x y z"), (5, "p q r s t"), (None, "only here"), (6, "")], key=str)
+    assert simhash.one_of_each(docs).columns == docs.columns
+    assert simhash.one_of_each(docs.limit(0)).count() == 0

@@ -30,7 +30,7 @@ def rows(df):
 
 
 def test_stages(steps):
-    assert [name for name, _ in pipeline.STAGES] == ["toxicity", "near_copies", "secrets", "mixing", "encode"]
+    assert [name for name, _ in pipeline.STAGES] == ["toxicity", "simhash", "secrets", "mixing", "encode"]
     assert all(sorted(t.columns) == sorted(pipeline.COLUMNS) for t in steps[:-1])
     sizes = [t.count() for t in steps]
     assert sizes == sorted(sizes, reverse=True) and sizes[-1] > 0.5 * sizes[0]
