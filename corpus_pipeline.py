@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedbacklens.llm import byte_bpe, mixing, near_copies, secrets, toxicity
+from feedbacklens.llm import byte_bpe, mixing, secrets, simhash, toxicity
 from feedbacklens.session import cut
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -22,11 +22,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies one row stays, the one with the smallest id; a null id comes last.
+    """Of each group of near-duplicates one row stays, that with the smallest id; a null id comes last.
 
-    Near copies share 0.8 or more of their five-word shingles; groups are what such pairs connect.
+    Fingerprints of three-word shingles that differ in at most two bits make near-duplicates.
     """
-    return near_copies.one_of_each(docs.select(*COLUMNS), words=5, similarity=0.8)
+    return simhash.one_of_each(docs.select(*COLUMNS), words=3, radius=2)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "round_trip")
 
 
-STAGES = [("toxicity", drop_toxic), ("near_copies", drop_near_copies), ("secrets", mask_secrets),
+STAGES = [("toxicity", drop_toxic), ("simhash", drop_near_copies), ("secrets", mask_secrets),
           ("mixing", mix), ("encode", encode)]
 
 
