@@ -98,14 +98,15 @@ def small_side(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
 def release(*tables: DataFrame) -> None:
     """Remove ``cut`` tables that nothing reads any more, as a loop's earlier states."""
     for table in tables:
-        _remove(table.sparkSession, table.cut_path)
+        remove(table.sparkSession, table.cut_path)
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Remove all files this application left in the shared folder, after its last action."""
-    _remove(spark, _own_dir(spark))
+    remove(spark, _own_dir(spark))
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path that ``scratch_path`` gave, wherever the shared folder is."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
