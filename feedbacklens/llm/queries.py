@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut
-from . import byte_bpe, embed_dedup, mixing, quality, secrets, simhash, token_count, topk, toxicity, url_filter
+from . import byte_bpe, embed_dedup, line_dedup, mixing, quality, secrets, simhash, token_count, topk, toxicity, url_filter
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -66,9 +66,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(counted).select("doc_id", "domain", "lang", "source", "epoch", "tokens")
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_toxicity, op3_secrets, op4_simhash, op5_topk_search, op6_embedding_dedup,
-    op7_token_count, op8_byte_bpe, op9_quality, op10_mixing)}
+    op7_token_count, op8_byte_bpe, op9_quality, op10_mixing, op13_line_dedup)}
 
 _HOST = (f"translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), "
          f"'{url_filter.UPPER}', '{url_filter.LOWER}')")
@@ -141,6 +147,22 @@ FROM embeddings e JOIN parts ON parts.node = e.vec_id LEFT JOIN counts ON counts
 """,
 }
 
+_KEY = "translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{}', '{}')".format(
+    url_filter.UPPER, url_filter.LOWER)
+ORACLE["op13_line_dedup"] = f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS uid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (SELECT uid, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM doc),
+keyed AS (SELECT *, {_KEY} AS key FROM line),
+frequent AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT uid) >= 10),
+kept AS (
+  SELECT uid, count(*) FILTER (WHERE gone) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS text
+  FROM (SELECT *, key IN (SELECT key FROM frequent) AS gone FROM keyed) GROUP BY uid)
+SELECT doc_id, len(lines)::BIGINT AS n_lines, n_dropped::BIGINT AS n_dropped, sha256(text) AS kept_sha256
+FROM doc JOIN kept USING (uid)
+"""
+
 
 def _fill_sql(table: str, family: str, name: str) -> str:
     """DuckDB: share a family's budget by weight up to each member's cap."""
