@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut
-from . import byte_bpe, embed_dedup, line_dedup, mixing, quality, secrets, simhash, token_count, topk, toxicity, url_filter
+from . import align, byte_bpe, embed_dedup, line_dedup, mixing, quality, secrets, simhash, token_count, topk, toxicity, url_filter
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -66,6 +66,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(counted).select("doc_id", "domain", "lang", "source", "epoch", "tokens")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path
+    return align.align(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                       path("byte_bpe_50k.json"), path("piece_bpe_32k.model"), ranks=path(BYTE_RANKS))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select(
@@ -74,7 +80,7 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_toxicity, op3_secrets, op4_simhash, op5_topk_search, op6_embedding_dedup,
-    op7_token_count, op8_byte_bpe, op9_quality, op10_mixing, op13_line_dedup)}
+    op7_token_count, op8_byte_bpe, op9_quality, op10_mixing, op12_alignment, op13_line_dedup)}
 
 _HOST = (f"translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), "
          f"'{url_filter.UPPER}', '{url_filter.LOWER}')")
