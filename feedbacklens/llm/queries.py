@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut
-from . import align, byte_bpe, embed_dedup, line_dedup, mixing, quality, secrets, simhash, token_count, topk, toxicity, url_filter
+from . import align, byte_bpe, embed_dedup, line_dedup, mixing, quality, ranked, secrets, simhash, token_count, topk, toxicity, url_filter
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -66,6 +66,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(counted).select("doc_id", "domain", "lang", "source", "epoch", "tokens")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path
     return align.align(table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -80,7 +84,7 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_toxicity, op3_secrets, op4_simhash, op5_topk_search, op6_embedding_dedup,
-    op7_token_count, op8_byte_bpe, op9_quality, op10_mixing, op12_alignment, op13_line_dedup)}
+    op7_token_count, op8_byte_bpe, op9_quality, op10_mixing, op11_ranked_search, op12_alignment, op13_line_dedup)}
 
 _HOST = (f"translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), "
          f"'{url_filter.UPPER}', '{url_filter.LOWER}')")
@@ -153,6 +157,26 @@ FROM embeddings e JOIN parts ON parts.node = e.vec_id LEFT JOIN counts ON counts
 """,
 }
 
+_TERMS = (f"regexp_extract_all(translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+ORACLE["op11_ranked_search"] = f"""
+WITH doc AS (SELECT row_number() OVER () AS uid, doc_id, {_TERMS} AS t FROM documents),
+total AS (SELECT count(*) AS docs, sum(len(t))::BIGINT AS terms FROM doc WHERE len(t) > 0),
+posting AS (
+  SELECT uid, term, count(*)::BIGINT AS tf FROM (SELECT uid, unnest(t) AS term FROM doc) GROUP BY ALL),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM posting, total GROUP BY term, docs),
+norm AS (SELECT uid, doc_id, 25 + (75 * len(t) * docs) // terms AS m FROM doc, total WHERE len(t) > 0),
+item AS (SELECT row_number() OVER () AS iid, item_id, {_TERMS} AS t FROM benchmark),
+asked AS (SELECT iid, item_id, term, count(*) AS times FROM (SELECT iid, item_id, unnest(t) AS term FROM item) GROUP BY ALL),
+scored AS (
+  SELECT iid, item_id, uid, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN posting USING (term) JOIN weight USING (term) JOIN norm USING (uid) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id) <= 10
+"""
 _KEY = "translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{}', '{}')".format(
     url_filter.UPPER, url_filter.LOWER)
 ORACLE["op13_line_dedup"] = f"""
