@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import graph, similarity
+from ..operators import graph, moves, similarity
 from . import fixtures as X
 
 QUERIES = {}
 ORACLE = {}
 
 THRESHOLD = 0.3
-ROUNDS = 20
 MAX_CONCEPTS = 5
 
 
@@ -106,82 +105,128 @@ def components(spark, sf):
     return graph.components(edges(spark, sf))
 
 
-MERGES = 12  # more rounds than the data need; a round without mergers changes nothing
-MERGE_SQL = GRAPH_SQL + """,
-link0 AS MATERIALIZED (
+LEVELS = 5  # more than the data need; a level that moves nothing changes nothing
+_HASH = f"(({{}} % {moves.NODES}) * {moves.SPREAD} + {{}}) % {moves.RANGE}"
+_HIGH = f"[{_HASH.format('{0}', 0)}, {{0}}]"
+
+
+def _pressed(rows: str) -> str:
+    return f"""
+  SELECT r.*, t.sum_to, t.lead_to, h.sum_home, h.lead_home, r.degree * (t.sum_to + h.sum_home - 2 * r.degree) AS pressure
+  FROM {rows} r
+  JOIN (SELECT label, too, sum(degree)::HUGEINT AS sum_to, arg_max(node, struct_pack(g := gain, n := -node)) AS lead_to
+        FROM {rows} GROUP BY ALL) t ON t.label = r.label AND t.too = r.too
+  JOIN (SELECT label, home, sum(degree)::HUGEINT AS sum_home, arg_max(node, struct_pack(g := gain, n := -node)) AS lead_home
+        FROM {rows} GROUP BY ALL) h ON h.label = r.label AND h.home = r.home"""
+
+
+def _level_sql(k: int) -> str:
+    """One level: colours, then steps (sweep by sweep, colour by colour), then the next level's graph."""
+    return f""",
+colour{k}(label, node, colour) AS (
+  SELECT label, node, NULL::BIGINT FROM node{k}
+  UNION ALL
+  SELECT x.label, x.node, CASE WHEN x.colour IS NOT NULL THEN x.colour WHEN coalesce(s.waits, false) THEN NULL
+    ELSE list_min(list_filter(range(0, len(coalesce(s.taken, [])) + 1), lambda c: NOT list_contains(coalesce(s.taken, []), c))) END
+  FROM colour{k} x LEFT JOIN (
+    SELECT l.label, l.a, bool_or(y.colour IS NULL AND {_HIGH.format("y.node")} > {_HIGH.format("l.a")}) AS waits,
+           list(DISTINCT y.colour) FILTER (WHERE y.colour IS NOT NULL) AS taken
+    FROM both{k} l JOIN colour{k} y ON y.label = l.label AND y.node = l.b GROUP BY ALL) s
+    ON s.label = x.label AND s.a = x.node
+  WHERE x.colour IS NULL OR EXISTS (SELECT 1 FROM colour{k} WHERE colour IS NULL)),
+painted{k} AS MATERIALIZED (
+  SELECT n.*, max(c.colour) AS colour, max(max(c.colour)) OVER () + 1 AS colours
+  FROM node{k} n JOIN colour{k} c ON c.label = n.label AND c.node = n.node GROUP BY ALL),
+step{k}(label, node, degree, total, colour, colours, home, t, idle) AS (
+  SELECT label, node, degree, total, colour, colours, node, 0::BIGINT, 0::BIGINT FROM painted{k}
+  UNION ALL (
+  WITH mass AS (SELECT label, home, sum(degree)::HUGEINT AS mass FROM step{k} GROUP BY ALL),
+  near AS (
+    SELECT x.label, x.node, x.degree, x.total, x.home, y.home AS too, x.t, x.colours, sum(l.weight)::HUGEINT AS near
+    FROM step{k} x JOIN both{k} l ON l.label = x.label AND l.a = x.node AND x.colour = x.t % x.colours
+    JOIN step{k} y ON y.label = l.label AND y.node = l.b GROUP BY ALL),
+  gained AS (
+    SELECT n.*, n.total * (n.near - coalesce(o.near, 0)) - n.degree * (m.mass - h.mass + n.degree) AS gain
+    FROM near n LEFT JOIN near o ON o.label = n.label AND o.node = n.node AND o.too = o.home
+    JOIN mass m ON m.label = n.label AND m.home = n.too JOIN mass h ON h.label = n.label AND h.home = n.home
+    WHERE n.too <> n.home),
+  wish AS (SELECT * FROM gained WHERE gain > 0
+           QUALIFY row_number() OVER (PARTITION BY label, node ORDER BY gain DESC, too) = 1),
+  pressed AS ({_pressed("wish")}),
+  drawn AS (
+    SELECT label, node, degree, home, too, gain, lead_to = node AND lead_home = node AS leads FROM pressed
+    WHERE (lead_to = node AND lead_home = node) OR
+      {_HASH.format("node", f"40503 * (t // colours + 1) + {9176 * k}")} * (least(pressure // gain, {moves.CROWD}) + 1) < {moves.RANGE}),
+  again AS ({_pressed("drawn")}),
+  let AS (SELECT label, node, too FROM again WHERE leads OR gain > pressure)
+  SELECT s.label, s.node, s.degree, s.total, s.colour, s.colours, coalesce(l.too, s.home), s.t + 1,
+         CASE WHEN EXISTS (SELECT 1 FROM let) THEN 0 ELSE s.idle + 1 END
+  FROM step{k} s LEFT JOIN let l ON l.label = s.label AND l.node = s.node WHERE s.idle < s.colours AND s.t < {moves.SWEEPS} * s.colours)),
+moved{k} AS MATERIALIZED (SELECT label, node, degree, total, home FROM step{k} WHERE t = (SELECT max(t) FROM step{k})),
+place{k + 1} AS MATERIALIZED (
+  SELECT p.label, p.node, m.home FROM place{k} p JOIN moved{k} m ON m.label = p.label AND m.node = p.home),
+node{k + 1} AS MATERIALIZED (
+  SELECT label, home AS node, sum(degree)::HUGEINT AS degree, any_value(total) AS total FROM moved{k} GROUP BY label, home),
+both{k + 1} AS MATERIALIZED (
+  SELECT b.label, x.home AS a, y.home AS b, sum(b.weight)::HUGEINT AS weight FROM both{k} b
+  JOIN moved{k} x ON x.label = b.label AND x.node = b.a JOIN moved{k} y ON y.label = b.label AND y.node = b.b
+  WHERE x.home <> y.home GROUP BY ALL)"""
+
+
+MOVE_SQL = GRAPH_SQL + f""",
+link AS (
   SELECT label, a, b, weight FROM (
-    SELECT label, least(src, dst) AS a, greatest(src, dst) AS b,
-           CAST(round(max(score) * 1000000) AS HUGEINT) AS weight
+    SELECT label, least(src, dst) AS a, greatest(src, dst) AS b, CAST(round(max(score) * {moves.WEIGHT}) AS HUGEINT) AS weight
     FROM edge WHERE score > 0 AND src <> dst GROUP BY ALL) WHERE weight > 0),
-both0 AS MATERIALIZED (SELECT * FROM link0 UNION ALL SELECT label, b, a, weight FROM link0),
-total AS MATERIALIZED (SELECT label, sum(weight)::HUGEINT AS total FROM both0 GROUP BY label),
-home0 AS MATERIALIZED (SELECT label, a AS node, a AS home FROM both0 GROUP BY ALL)""" + "".join(f""",
-degree{k} AS MATERIALIZED (
-  SELECT h.label, h.home AS node, sum(b.weight)::HUGEINT AS degree
-  FROM home{k} h JOIN both0 b ON b.label = h.label AND b.a = h.node GROUP BY ALL),
-both{k + 1} AS MATERIALIZED (
-  SELECT b.label, x.home AS a, y.home AS b, sum(b.weight)::HUGEINT AS weight FROM both0 b
-  JOIN home{k} x ON x.label = b.label AND x.node = b.a JOIN home{k} y ON y.label = b.label AND y.node = b.b
-  WHERE x.home <> y.home GROUP BY ALL),
-wish{k} AS MATERIALIZED (
-  SELECT label, a AS node, degree,
-         arg_max(b, struct_pack(g := gain, l := -least(a, b), h := -greatest(a, b))) AS centre, max(gain) AS gain
-  FROM (SELECT l.label, l.a, l.b, x.degree, t.total * l.weight - x.degree * y.degree AS gain
-        FROM both{k + 1} l JOIN degree{k} x ON x.label = l.label AND x.node = l.a
-        JOIN degree{k} y ON y.label = l.label AND y.node = l.b JOIN total t ON t.label = l.label)
-  WHERE gain > 0 GROUP BY label, a, degree),
-move{k} AS MATERIALIZED (
-  SELECT label, node, centre FROM (
-    SELECT w.label, w.node, w.centre, w.gain, w.degree, coalesce(sum(w.degree) OVER (
-             PARTITION BY w.label, w.centre ORDER BY w.gain DESC, w.node
-             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS before
-    FROM wish{k} w WHERE EXISTS (
-      SELECT 1 FROM wish{k} c JOIN wish{k} p ON p.label = c.label AND p.node = c.centre
-      WHERE c.label = w.label AND c.node = w.centre AND p.centre = c.node AND c.node < p.node))
-  WHERE gain > degree * before),
-home{k + 1} AS MATERIALIZED (
-  SELECT h.label, h.node, coalesce(m.centre, h.home) AS home
-  FROM home{k} h LEFT JOIN move{k} m ON m.label = h.label AND m.node = h.home)""" for k in range(MERGES)) + f""",
+both0 AS MATERIALIZED (SELECT * FROM link UNION ALL SELECT label, b, a, weight FROM link),
+node0 AS MATERIALIZED (
+  SELECT label, a AS node, sum(weight)::HUGEINT AS degree, (sum(sum(weight)) OVER (PARTITION BY label))::HUGEINT AS total
+  FROM both0 GROUP BY label, a),
+place0 AS (SELECT label, node, node AS home FROM node0)""" + "".join(map(_level_sql, range(LEVELS))) + f""",
 placed AS (
   SELECT n.label, n.node, coalesce(h.home, n.node) AS home
   FROM (SELECT label, src AS node FROM edge UNION SELECT label, dst FROM edge) n
-  LEFT JOIN home{MERGES} h ON h.label = n.label AND h.node = n.node)"""
+  LEFT JOIN place{LEVELS} h ON h.label = n.label AND h.node = n.node)"""
 
 
-@query(f"""WITH {MERGE_SQL}
+@query(f"""WITH RECURSIVE {MOVE_SQL}
 SELECT label, node, min(node) OVER (PARTITION BY label, home) AS community FROM placed""")
 def communities(spark, sf):
     return graph.communities(edges(spark, sf))
 
 
-RANKS = """,
-inner_edge AS (SELECT e.label, p.component AS community, e.src, e.dst FROM edge e
+STEPS = 250  # what a longer iteration could change is below 0.85 ** 250 of the mass
+RANKS = f""",
+inner_edge AS (SELECT e.label, p.component AS community, e.src, e.dst, e.score FROM edge e
   JOIN part p ON p.label = e.label AND p.node = e.src
   JOIN part q ON q.label = e.label AND q.node = e.dst AND q.component = p.component WHERE e.src <> e.dst),
-vertex AS (SELECT label, community, node, count(*) OVER (PARTITION BY label, community) AS n,
-                  node NOT IN (SELECT src FROM inner_edge) AS dangling
+vertex AS MATERIALIZED (SELECT label, community, node, count(*) OVER (PARTITION BY label, community) AS n,
+                  node NOT IN (SELECT src FROM inner_edge i WHERE i.label = v.label AND score > 0) AS dangling
   FROM (SELECT label, community, src AS node FROM inner_edge
-        UNION SELECT label, community, dst FROM inner_edge)),
-rank0 AS (SELECT *, 1.0::DOUBLE / n AS rank FROM vertex)""" + "".join(f""",
-rank{k} AS MATERIALIZED (
+        UNION SELECT label, community, dst FROM inner_edge) v),
+walk(label, community, node, n, dangling, rank, step) AS (
+  SELECT label, community, node, n, dangling, 1.0::DOUBLE / n, 0 FROM vertex
+  UNION ALL
   SELECT v.label, v.community, v.node, v.n, v.dangling,
-         0.85 * (coalesce(f.flow, 0) + d.loose / v.n) + (1.0::DOUBLE - 0.85) / v.n AS rank
-  FROM rank{k - 1} v
+         0.85::DOUBLE * (coalesce(f.flow, 0) + d.loose / v.n) + (1.0::DOUBLE - 0.85) / v.n, v.step + 1
+  FROM walk v
   JOIN (SELECT label, community, sum(CASE WHEN dangling THEN rank ELSE 0 END) AS loose
-        FROM rank{k - 1} GROUP BY label, community) d
+        FROM walk GROUP BY label, community) d
     ON d.label = v.label AND d.community = v.community
-  LEFT JOIN (SELECT e.label, e.dst, sum(r.rank) AS flow FROM inner_edge e
-             JOIN rank{k - 1} r ON r.label = e.label AND r.node = e.src GROUP BY e.label, e.dst) f
-    ON f.label = v.label AND f.dst = v.node)""" for k in range(1, ROUNDS + 1))
+  LEFT JOIN (SELECT e.label, e.community, e.dst, sum(r.rank) AS flow FROM inner_edge e
+             JOIN walk r ON r.label = e.label AND r.community = e.community AND r.node = e.src
+             WHERE e.score > 0 GROUP BY e.label, e.community, e.dst) f
+    ON f.label = v.label AND f.community = v.community AND f.dst = v.node
+  WHERE v.step < {STEPS}),
+ranked AS MATERIALIZED (SELECT label, community, node, rank FROM walk WHERE step = {STEPS})"""
 RANK_SQL = PART_SQL + RANKS
 
 
-@query(f"WITH RECURSIVE {RANK_SQL} SELECT label, community, node, round(rank, 6) AS rank FROM rank{ROUNDS}")
+@query(f"WITH RECURSIVE {RANK_SQL} SELECT label, community, node, round(rank, 6) AS rank FROM ranked")
 def pagerank(spark, sf):
     found = edges(spark, sf)
     members = graph.communities(found, method="components")
-    ranks = graph.pagerank(graph.inner_edges(found, members), max_iter=ROUNDS, tol=None)
-    return ranks.withColumn("rank", F.round("rank", 6))
+    return graph.pagerank(graph.inner_edges(found, members)).withColumn("rank", F.round("rank", 6))
 
 
 CHOICE = f""",
@@ -191,7 +236,7 @@ kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY
          FROM community) WHERE place <= {MAX_CONCEPTS}),
 top AS (SELECT label, community,
                arg_max(struct_pack(node := node, rank := rank), struct_pack(r := round(rank, 9), n := -node)) AS t
-        FROM rank{ROUNDS} GROUP BY label, community),
+        FROM ranked GROUP BY label, community),
 scored AS (SELECT k.label, k.community, k.size, coalesce(t.t.node, k.first) AS node,
                   coalesce(t.t.rank, 1.0) AS rank
            FROM kept k LEFT JOIN top t ON t.label = k.label AND t.community = k.community)
@@ -201,14 +246,13 @@ SELECT label, community, size, node, round(rank, 6) AS rank,
 
 @query(f"WITH RECURSIVE {RANK_SQL}{CHOICE}")
 def ranked_concepts(spark, sf):
-    chosen = graph.rank_concepts(edges(spark, sf), MAX_CONCEPTS, method="components",
-                                 max_iter=ROUNDS, tol=None)
+    chosen = graph.rank_concepts(edges(spark, sf), MAX_CONCEPTS, method="components")
     return chosen.withColumn("rank", F.round("rank", 6)).withColumn("score", F.round("score", 6))
 
 
-@query(f"""WITH {MERGE_SQL},
+@query(f"""WITH RECURSIVE {MOVE_SQL},
 part AS (SELECT label, node, min(node) OVER (PARTITION BY label, home) AS component FROM placed)
 {RANKS}{CHOICE}""")
 def ranked_communities(spark, sf):
-    chosen = graph.rank_concepts(edges(spark, sf), MAX_CONCEPTS, max_iter=ROUNDS, tol=None)
+    chosen = graph.rank_concepts(edges(spark, sf), MAX_CONCEPTS)
     return chosen.withColumn("rank", F.round("rank", 6)).withColumn("score", F.round("score", 6))
