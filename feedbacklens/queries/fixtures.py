@@ -60,7 +60,7 @@ def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 STRIP = "' ' || chr(9) || chr(13) || chr(10) || chr(11) || chr(12)"
 
 STORY_SQL = """
-story AS (
+story AS MATERIALIZED (
   SELECT d.doc_id,
          d.text || chr(10) || chr(10) || '@highlight' || chr(10) || b.text AS story
   FROM documents d
@@ -81,7 +81,7 @@ story_mark AS (
          coalesce(list_position(list_transform(lines,
            lambda l: starts_with(l, '@highlight')), true), 0) AS first
   FROM story_line),
-parsed AS (
+parsed AS MATERIALIZED (
   SELECT doc_id,
          array_to_string(CASE WHEN first = 0 THEN lines ELSE lines[1:first - 1] END, ' ') AS article,
          coalesce(array_to_string(list_transform(
@@ -89,23 +89,23 @@ parsed AS (
                        lambda l: NOT starts_with(l, '@highlight')),
            lambda l: '<s> ' || l || ' </s>'), ' '), '') AS abstract
   FROM story_mark),
-record AS (SELECT * FROM parsed WHERE length(article) > 0)"""
+record AS MATERIALIZED (SELECT * FROM parsed WHERE length(article) > 0)"""
 
 VOCAB_SQL = PARSE_SQL + """,
-token AS (
+token AS MATERIALIZED (
   SELECT unnest(list_concat(string_split(article, ' '),
          list_filter(string_split(abstract, ' '), lambda t: t NOT IN ('<s>', '</s>')))) AS word
   FROM record),
-word_count AS (
+word_count AS MATERIALIZED (
   SELECT word, count(*) AS cnt FROM (SELECT trim(word, """ + STRIP + """) AS word FROM token)
   WHERE word <> '' GROUP BY word),
-word_rank AS (
+word_rank AS MATERIALIZED (
   SELECT word, row_number() OVER (ORDER BY cnt DESC, word) AS r, cnt FROM word_count)"""
 
 
 def vocab_sql(size: int) -> str:
     return VOCAB_SQL + f""",
-vocab AS (
+vocab AS MATERIALIZED (
   SELECT * FROM (VALUES ('[UNK]', 0, NULL::BIGINT), ('[PAD]', 1, NULL), ('[START]', 2, NULL),
                         ('[STOP]', 3, NULL)) v(word, id, cnt)
   UNION ALL
@@ -113,21 +113,21 @@ vocab AS (
 
 
 ENCODE_SQL = vocab_sql(SMALL_VOCAB) + f""",
-doc_words AS (
+doc_words AS MATERIALIZED (
   SELECT doc_id,
          list_filter(regexp_split_to_array(article, '\\s+'), lambda t: t <> '')[1:{ENC_STEPS}] AS aw,
          list_filter(regexp_split_to_array(array_to_string(list_transform(
            regexp_extract_all(abstract, '(?s)<s>(.*?)</s>', 1), lambda s: trim(s)), ' '), '\\s+'),
            lambda t: t <> '') AS bw
   FROM record),
-art_token AS (
+art_token AS MATERIALIZED (
   SELECT doc_id, t.pos, t.word, coalesce(v.id, 0) AS id
   FROM (SELECT doc_id, unnest(aw) AS word, generate_subscripts(aw, 1) AS pos FROM doc_words) t
   LEFT JOIN vocab v ON v.word = t.word),
-oov AS (
+oov AS MATERIALIZED (
   SELECT doc_id, word, row_number() OVER (PARTITION BY doc_id ORDER BY min(pos)) - 1 AS o
   FROM art_token WHERE id = 0 GROUP BY doc_id, word),
-art AS (
+art AS MATERIALIZED (
   SELECT a.doc_id, count(*) AS enc_len,
          list(a.id ORDER BY a.pos) AS enc,
          list(CASE WHEN o.o IS NULL THEN a.id ELSE {SMALL_VOCAB} + o.o END ORDER BY a.pos) AS ext
@@ -135,11 +135,11 @@ art AS (
   GROUP BY a.doc_id),
 oov_list AS (
   SELECT doc_id, list(word ORDER BY o) AS oovs FROM oov GROUP BY doc_id),
-abs_token AS (
+abs_token AS MATERIALIZED (
   SELECT doc_id, t.pos, t.word, coalesce(v.id, 0) AS id
   FROM (SELECT doc_id, unnest(bw) AS word, generate_subscripts(bw, 1) AS pos FROM doc_words) t
   LEFT JOIN vocab v ON v.word = t.word),
-abst AS (
+abst AS MATERIALIZED (
   SELECT a.doc_id, list(a.id ORDER BY a.pos) AS ids,
          list(CASE WHEN a.id <> 0 THEN a.id WHEN o.o IS NULL THEN 0
                    ELSE {SMALL_VOCAB} + o.o END ORDER BY a.pos) AS ext

@@ -275,8 +275,8 @@ SELECT m.doc_id, CAST(batch_id AS BIGINT) AS batch_id, CAST(width AS INTEGER) AS
          || list_transform(range({X.DEC_STEPS}), lambda x: 1))[1:{X.DEC_STEPS}], ' ') AS target_batch
 FROM m LEFT JOIN abst b USING (doc_id)""")
 def padded_batches(spark, sf):
-    cut = batches.length_batches(X.encoded(spark, sf), "doc_id", 16)
-    return batches.pad_batches(cut, X.DEC_STEPS).select(
+    grouped = batches.length_batches(X.encoded(spark, sf), "doc_id", 16)
+    return batches.pad_batches(grouped, X.DEC_STEPS).select(
         "doc_id", "batch_id", "max_enc_len", "max_art_oovs",
         text_ids("enc_batch").alias("enc_batch"),
         text_ids("enc_padding_mask").alias("enc_padding_mask"),
@@ -288,12 +288,14 @@ def shuffled_batches(spark, sf):
     return batches.shuffle_batches(length_batches(spark, sf))
 
 
-EMBED_SQL = X.vocab_sql(X.SMALL_VOCAB) + """,
+EVERY_WORD = 1 << 40
+EMBED_SQL = X.vocab_sql(EVERY_WORD) + """,
 vectors AS (SELECT v.word, e.embedding FROM vocab v JOIN embeddings e ON e.vec_id = v.id)"""
 
 
 def _vectors(spark, sf):
-    words = X.small_vocab(spark, sf)
+    """The whole vocabulary, and the vectors of its words."""
+    words = vocab.build_vocab(X.records(spark, sf), EVERY_WORD, EVERY_WORD)
     return words, words.join(
         X.table(spark, sf, "embeddings").select(
             F.col("vec_id").cast("int").alias("id"), F.col("embedding").alias("vec")), "id")

@@ -142,9 +142,9 @@ def title_removal(spark, sf):
 
 WORD_SQL = "'[A-Za-z0-9À-ÿ]+(?:[''-][A-Za-z0-9À-ÿ]+)*'"
 CORPUS_SQL = f"""
-corpus AS (SELECT word, count(*) AS cnt FROM (
+corpus AS MATERIALIZED (SELECT word, count(*) AS cnt FROM (
   SELECT unnest(regexp_extract_all(lower(text), {WORD_SQL})) AS word FROM documents) GROUP BY word),
-dictionary AS (SELECT * FROM corpus WHERE cnt >= 50)"""
+dictionary AS MATERIALIZED (SELECT * FROM corpus WHERE cnt >= 50)"""
 
 
 def corpus_words(spark, sf):
@@ -160,12 +160,12 @@ SINGLE = "ABCDEFGHIJKLMNOPQRSTUVWXYZ!@#$%^&*"[: len(ACCENTED)]
 
 
 @query(f"""WITH {CORPUS_SQL},
-plain AS (SELECT word, cnt, translate(word, '{ACCENTED}', '{SINGLE}') AS p FROM corpus),
-keyed AS (SELECT word, cnt, p, unnest(list_append(list_transform(range(1, length(p) + 1),
+plain AS MATERIALIZED (SELECT word, cnt, translate(word, '{ACCENTED}', '{SINGLE}') AS p FROM corpus),
+keyed AS MATERIALIZED (SELECT word, cnt, p, unnest(list_append(list_transform(range(1, length(p) + 1),
             lambda i: substr(p, 1, i - 1) || substr(p, i + 1)), p)) AS k FROM plain),
-pair AS (SELECT DISTINCT c.word, d.word AS entry, d.cnt FROM keyed c JOIN keyed d ON c.k = d.k
+pair AS MATERIALIZED (SELECT DISTINCT c.word, d.word AS entry, d.cnt FROM keyed c JOIN keyed d ON c.k = d.k
   WHERE c.cnt < 50 AND d.cnt >= 50 AND damerau_levenshtein(c.p, d.p) = 1),
-best AS (SELECT word, arg_min(entry, struct_pack(c := -cnt, e := entry)) AS entry FROM pair GROUP BY word)
+best AS MATERIALIZED (SELECT word, arg_min(entry, struct_pack(c := -cnt, e := entry)) AS entry FROM pair GROUP BY word)
 SELECT c.word, coalesce(b.entry, c.word) AS corrected FROM corpus c LEFT JOIN best b USING (word)""")
 def spell_correct(spark, sf):
     words = corpus_words(spark, sf)
