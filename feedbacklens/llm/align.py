@@ -20,7 +20,7 @@ import os
 import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from ..session import cut
 from .byte_bpe import PUBLIC_PATTERN, broadcast_file, read_ranks
 from .columns import column
 
-BLOCK_BYTES, RADIXES, FANIN = 4_000_000, 64, 256
+BLOCK_BYTES, RADIXES, FANIN = 1_000_000, 64, 256
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 #: characters beyond those whose classes every Unicode version agrees on
 BEYOND = re.compile("[^\x00-ɏ]")
@@ -154,11 +154,13 @@ class Block:
     def __init__(self, encoders: Encoders, texts: list[str]):
         ids = encoders.encode(texts)
         self.n_a, self.n_b = (np.array([len(row[side]) for row in ids], np.int64) for side in (0, 1))
-        a, b = (np.fromiter((i for row in ids for i in row[side]), np.int64) for side in (0, 1))
+        a, b = (np.array(list(chain.from_iterable(row[side] for row in ids)), np.int64) for side in (0, 1))
         end_a, end_b = np.cumsum(encoders.a_size[a]), np.cumsum(encoders.b_size[b])
         # where each document ends on that line; a document without tokens has no length
         self.ends = np.concatenate([[0], end_a])[np.cumsum(self.n_a)]
-        links, groups = np.union1d(end_a, end_b), np.intersect1d(end_a, end_b, assume_unique=True)
+        ends = np.sort(np.concatenate([end_a, end_b]), kind="stable")  # two sorted runs
+        twice = ends[1:] == ends[:-1]
+        links, groups = ends[np.append(~twice, True)[:len(ends)]], ends[:-1][twice]
         of_a, of_b = np.searchsorted(end_a, links), np.searchsorted(end_b, links)
         self.pairs = (b[of_b] << SIDE) | a[of_a]
         self.doc = np.searchsorted(self.ends, links)
