@@ -44,11 +44,12 @@ def _compose(cells: Column) -> Column:
 
 
 def running_loss(df: DataFrame, series: str, step: str, loss: str,
-                 decay: float = DECAY, clip: float = CLIP) -> DataFrame:
+                 decay: float = DECAY, clip: float = CLIP, start: DataFrame | None = None) -> DataFrame:
     """Add ``running_avg``: the decayed average, clipped, the clip feeding back.
 
     The first non-zero loss seeds the average.  Losses are at least 0 and steps
-    are unique integers inside a series.
+    are unique integers inside a series.  ``start (series, running_avg)`` has the averages
+    that series come with, one row each; others start at 0.
 
     A step is ``x -> min(d*x + (1-d)*loss, clip)``, and such steps compose into
     one of the same form.  So a series is cut into ranges of steps; inside a
@@ -62,6 +63,10 @@ def running_loss(df: DataFrame, series: str, step: str, loss: str,
     seeds = rows.filter(F.col(loss) != 0).groupBy(series, "_chunk").agg(F.min(step).alias("_seed"))
     firsts = seeds.groupBy(series).agg(F.min("_seed").alias("_seed")).withColumn(
         "_chunk", F.floor(F.col("_seed") / width).cast("long"))
+    if start is None:
+        start = df.sparkSession.createDataFrame([], df.select(series, F.lit(0.0).alias("running_avg")).schema)
+    given = start.select(series, F.col("running_avg").alias("_given")).filter("_given <> 0")
+    firsts = firsts.join(given, series, "left_anti")
     inside = Window.partitionBy(series, "_chunk").orderBy(step)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     gain = F.when(F.col(step) == F.col("_seed"), F.col(loss)).otherwise((1 - decay) * F.col(loss))
@@ -82,8 +87,8 @@ def running_loss(df: DataFrame, series: str, step: str, loss: str,
     starts = (
         blocks.select(series, "_block", _compose(F.col("_cells")).alias("_f"))
         .select(series, "_block", "_f.*")
-        .groupBy(series).agg(cells("_block").alias("_blocks"))
-        .withColumn("_before", _carry_state(F.lit(0.0), F.col("_blocks")))
+        .groupBy(series).agg(cells("_block").alias("_blocks")).join(given, series, "left")
+        .withColumn("_before", _carry_state(F.coalesce("_given", F.lit(0.0)), F.col("_blocks")))
         .select(series, F.explode(F.arrays_zip(
             F.col("_blocks._block").alias("_block"), F.col("_before").alias("_start"))).alias("_z"))
         .select(series, "_z._block", "_z._start")
@@ -101,13 +106,19 @@ def running_loss(df: DataFrame, series: str, step: str, loss: str,
         "_chunk", "_seed", "_k", "_p", "_m", "_x")
 
 
-def best_so_far(df: DataFrame, series: str, step: str, value: str) -> DataFrame:
-    """Add ``is_best``: the value is strictly below all earlier ones of its series."""
+def best_so_far(df: DataFrame, series: str, step: str, value: str, start: DataFrame | None = None) -> DataFrame:
+    """Add ``is_best``: the value is strictly below all earlier ones of its series.
+
+    ``start (series, best)`` has the lowest values that series come with, one row each.
+    """
     rows = df.withColumn("_chunk", F.floor(F.col(step) / CHUNK_STEPS).cast("long"))
     earlier = Window.partitionBy(series).orderBy("_chunk").rowsBetween(
         Window.unboundedPreceding, -1)
     before = rows.groupBy(series, "_chunk").agg(F.min(value).alias("_low")).select(
         series, "_chunk", F.min("_low").over(earlier).alias("_before"))
+    if start is not None:
+        given = start.select(series, F.col("best").alias("_given"))
+        before = before.join(given, series, "left").select(series, "_chunk", F.least("_before", "_given").alias("_before"))
     inside = Window.partitionBy(series, "_chunk").orderBy(step).rowsBetween(
         Window.unboundedPreceding, -1)
     low = F.least("_before", "_inner")  # ignores nulls

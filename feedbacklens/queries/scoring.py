@@ -8,8 +8,8 @@ from ..functions import text as T
 from ..operators import generate, hypotheses, metrics, prepare, rouge, sentiment as S, tagging
 from ..plans import flow
 from ..plans.ordering import number_rows
-from ..session import scratch_path
-from ..streaming import jobs
+from ..session import cut, scratch_path
+from ..streaming import jobs, passes
 from . import fixtures as X
 from .preparation import CLEAN_SQL, CONCEPT_SQL
 from .texts import NAMES, TOKEN_SQL, UPPER_SQL, WORD_SQL, corpus_vectors, sql_list
@@ -374,8 +374,21 @@ SELECT series, step, loss, round(running_avg, 6) AS running_avg, m IS NULL OR ru
 def stream_running_loss(spark, sf):
     stream = _stream(spark, sf, "events").select(
         F.col("user_id").alias("series"), F.col("event_id").alias("step"), F.col("value").alias("loss"))
-    found = jobs.run_to_table(spark, jobs.running_loss_stream(stream), "losses")
-    return found.withColumn("running_avg", F.round("running_avg", 6))
+    return jobs.losses(spark, stream, "losses", wait=50).withColumn("running_avg", F.round("running_avg", 6))
+
+
+@query(f"""WITH {X.PARSE_SQL}
+SELECT p.range AS pass, doc_id, length(article) AS n_chars FROM record, range(2) p""")
+def endless_passes(spark, sf):
+    """Two passes of the endless stream, the second one by a restart."""
+    records = number_rows(X.records(spark, sf).select("doc_id", F.length("article").cast("long").alias("n_chars")),
+                          "doc_id", name="record")
+    records = cut(records)
+    count, out = records.count(), scratch_path(spark, "passes")
+    high, width = passes.grid(count)
+    for _ in range(2):
+        passes.run_batch(passes.endless_passes(spark, records, count, high * width), out)
+    return spark.read.parquet(out).select("pass", "doc_id", "n_chars")
 
 
 @query("""SELECT d.doc_id, d.source, l.quality FROM documents d JOIN labels l USING (doc_id)""")

@@ -56,29 +56,54 @@ def test_tsv_round_trip(spark, tmp_path):
     assert "Binary_Coded_" in writers.binary_coded(df, str(tmp_path))
 
 
-def test_stream_over_several_files_equals_batch(spark, tmp_path):
-    rows = [(s, i, float((i * 7 + s) % 23)) for i in range(60) for s in (1, 2)]
+def test_stream_over_interleaved_files_equals_batch(spark, tmp_path):
+    """Steps in any order within the wait, a series with a third of the rows, one with zeros first."""
+    rows = [(1, i, float((i * 7) % 23)) for i in range(120)]
+    rows += [(s, i, float((i * 7 + s) % 23) if i or s > 2 else 0.0) for i in range(40) for s in (2, 3, 4, 5, 6, 7)]
     df = spark.createDataFrame(rows, "series long, step long, loss double")
-    for part in range(3):
-        df.filter((F.col("step") >= part * 20) & (F.col("step") < part * 20 + 20)).coalesce(1).write.mode(
+    for part in range(3):  # the parts overlap: each has every third step of its range and the next
+        df.filter(F.floor((F.col("step") + F.col("step") % 3 * 13) / 45) == part).coalesce(1).write.mode(
             "append").parquet(str(tmp_path / "in"))
+    df.filter(F.floor((F.col("step") + F.col("step") % 3 * 13) / 45) > 2).coalesce(1).write.mode(
+        "append").parquet(str(tmp_path / "in"))
     stream = jobs.file_stream(spark, str(tmp_path / "in"), df.schema, files_per_batch=1)
-    got = jobs.run_to_table(spark, jobs.running_loss_stream(stream), "t")
-    want = metrics.running_loss(df, "series", "step", "loss")
-    joined = got.join(want.withColumnRenamed("running_avg", "w").drop("loss"), ["series", "step"])
-    assert joined.count() == 120 and joined.filter("abs(running_avg - w) > 1e-9").isEmpty()
+    got = {(r.series, r.step): r for r in jobs.losses(spark, stream, "t", wait=60).collect()}
+    want = metrics.running_loss(df, "series", "step", "loss").withColumn("seen", F.round("running_avg", 9))
+    want = metrics.best_so_far(want, "series", "step", "seen").collect()
+    assert len(got) == len(want) == len(rows) and not any(r.late for r in got.values())
+    for r in want:
+        one = got[r.series, r.step]
+        assert abs(one.running_avg - r.running_avg) < 1e-9 and one.is_best == r.is_best
 
 
 def test_late_steps_are_returned_and_marked(spark, tmp_path):
-    rows = [(1, i, float(i % 5)) for i in range(20)]
+    """Without a wait, what comes behind the last step is late; the others are averaged without it."""
+    rows = [(1, i, float(i % 5 + 1)) for i in range(20)]
     df = spark.createDataFrame(rows, "series long, step long, loss double")
     for part in (0, 1):  # odd steps come after all even ones
         df.filter(F.col("step") % 2 == part).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = jobs.file_stream(spark, str(tmp_path / "in"), df.schema, files_per_batch=1)
-    got = jobs.run_to_table(spark, jobs.running_loss_stream(stream), "late").collect()
-    assert sorted((r.step, r.loss) for r in got) == [(i, float(i % 5)) for i in range(20)]
+    got = jobs.losses(spark, stream, "late").collect()
+    assert sorted((r.step, r.loss) for r in got) == [(i, float(i % 5 + 1)) for i in range(20)]
     assert sorted(r.step for r in got if r.late) == list(range(1, 19, 2))
     assert all((r.running_avg is None) == r.late for r in got)
+    want = metrics.running_loss(df.filter("step % 2 = 0 or step = 19"), "series", "step", "loss")
+    assert {r.step: round(r.running_avg, 9) for r in want.collect()} == {
+        r.step: round(r.running_avg, 9) for r in got if not r.late}
+
+
+def test_a_repeated_micro_batch_replaces_itself(spark):
+    from feedbacklens.session import scratch_path
+
+    out = scratch_path(spark, "again")
+    batch = lambda *steps: spark.createDataFrame([(1, s, float(s)) for s in steps], jobs.LOSSES)
+    for number, steps in enumerate([(1, 2, 5), (3, 4), (2, 6, 9)]):
+        for _ in range(2):  # as after a lost driver
+            jobs._advance(batch(*steps), number, out, 2, 0.99, 12.0)
+    jobs.finish(spark, out)
+    got = spark.read.schema(jobs.COUNTED).parquet(out).collect()
+    assert sorted((r.step, r.late) for r in got) == [(1, False), (2, False), (2, True), (3, False), (4, False), (5, False),
+                                                     (6, False), (9, False)]
 
 
 def test_all_parameter_lines_are_read(spark, tmp_path):
