@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import generate, hypotheses, metrics, prepare, rouge, sentiment as S, tagging
+from ..operators import coding, generate, hypotheses, metrics, prepare, rouge, sentiment as S, tagging
 from ..plans import flow
 from ..plans.ordering import number_rows
 from ..session import cut, scratch_path
@@ -97,7 +97,10 @@ def binary_coded(spark, sf):
     coded, _ = prepare.prepare_feedback(X.feedback(spark, sf), X.concept_matrix(spark, sf))
     ranked = coded.select("sno", "label", "concept", F.round(
         F.lit(1.0) / (1 + F.col("sno") % 7), 6).alias("score"))
-    return S.binary_code(ranked, lexicon(spark), ["quality", "toxic"], **RULES)
+    dictionary = cut(coding.discover(ranked))
+    folder = scratch_path(spark, "wide")
+    coding.write_wide(coding.sparse_code(ranked, lexicon(spark), dictionary, **RULES), dictionary, folder)
+    return coding.read_wide(spark, folder)
 
 
 def turn_pairs(spark, sf):
