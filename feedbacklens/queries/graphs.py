@@ -195,6 +195,13 @@ def communities(spark, sf):
     return graph.communities(edges(spark, sf))
 
 
+NUDGE = 1e-9  # many ranks are short decimals that end in 5: so that all of them are rounded up
+
+
+def shown(name):
+    return F.round(F.col(name) + NUDGE, 6)
+
+
 STEPS = 250  # what a longer iteration could change is below 0.85 ** 250 of the mass
 RANKS = f""",
 inner_edge AS (SELECT e.label, p.component AS community, e.src, e.dst, e.score FROM edge e
@@ -222,11 +229,11 @@ ranked AS MATERIALIZED (SELECT label, community, node, rank FROM walk WHERE step
 RANK_SQL = PART_SQL + RANKS
 
 
-@query(f"WITH RECURSIVE {RANK_SQL} SELECT label, community, node, round(rank, 6) AS rank FROM ranked")
+@query(f"WITH RECURSIVE {RANK_SQL} SELECT label, community, node, round(rank + {NUDGE}, 6) AS rank FROM ranked")
 def pagerank(spark, sf):
     found = edges(spark, sf)
     members = graph.communities(found, method="components")
-    return graph.pagerank(graph.inner_edges(found, members)).withColumn("rank", F.round("rank", 6))
+    return graph.pagerank(graph.inner_edges(found, members)).withColumn("rank", shown("rank"))
 
 
 CHOICE = f""",
@@ -235,19 +242,19 @@ community AS (SELECT label, component AS community, count(*) AS size, min(node)
 kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY size DESC, community) AS place
          FROM community) WHERE place <= {MAX_CONCEPTS}),
 top AS (SELECT label, community,
-               arg_max(struct_pack(node := node, rank := rank), struct_pack(r := round(rank, 9), n := -node)) AS t
+               arg_max(struct_pack(node := node, rank := rank), struct_pack(r := round(rank + 1e-12, 9), n := -node)) AS t
         FROM ranked GROUP BY label, community),
 scored AS (SELECT k.label, k.community, k.size, coalesce(t.t.node, k.first) AS node,
                   coalesce(t.t.rank, 1.0) AS rank
            FROM kept k LEFT JOIN top t ON t.label = k.label AND t.community = k.community)
-SELECT label, community, size, node, round(rank, 6) AS rank,
-       round((size + rank) / max(size + rank) OVER (PARTITION BY label), 6) AS score FROM scored"""
+SELECT label, community, size, node, round(rank + {NUDGE}, 6) AS rank,
+       round((size + rank) / max(size + rank) OVER (PARTITION BY label) + {NUDGE}, 6) AS score FROM scored"""
 
 
 @query(f"WITH RECURSIVE {RANK_SQL}{CHOICE}")
 def ranked_concepts(spark, sf):
     chosen = graph.rank_concepts(edges(spark, sf), MAX_CONCEPTS, method="components")
-    return chosen.withColumn("rank", F.round("rank", 6)).withColumn("score", F.round("score", 6))
+    return chosen.withColumn("rank", shown("rank")).withColumn("score", shown("score"))
 
 
 @query(f"""WITH RECURSIVE {MOVE_SQL},
@@ -255,4 +262,4 @@ part AS (SELECT label, node, min(node) OVER (PARTITION BY label, home) AS compon
 {RANKS}{CHOICE}""")
 def ranked_communities(spark, sf):
     chosen = graph.rank_concepts(edges(spark, sf), MAX_CONCEPTS)
-    return chosen.withColumn("rank", F.round("rank", 6)).withColumn("score", F.round("score", 6))
+    return chosen.withColumn("rank", shown("rank")).withColumn("score", shown("score"))
