@@ -83,35 +83,84 @@ def test_words_by_numbers():
     assert (word_hash.words(*whole).key == keys).all()
 
 
-def test_continuation_counts_are_exact():
-    texts, labels, folds = ["a b a b", "c b", "a b"], [1, 0, 0], [0, 2, 0]
-    pairs = list(toxicity.word_pairs([pa.RecordBatch.from_arrays(
-        [pa.array(texts), pa.array(labels, pa.int32()), pa.array(folds, pa.int32())], names=["text", "label", "fold"])]))
-    rows = pa.Table.from_batches(pairs).to_pylist()
-    merged = defaultdict(int)
-    for r in rows:
-        merged[r["pair"], r["word"]] |= r["flags"]
-    batch = pa.RecordBatch.from_pylist([{"pair": p, "word": w, "flags": f} for (p, w), f in merged.items()])
-    table = pa.Table.from_batches(toxicity.continuation_counts([batch])).to_pylist()
+def test_continuation_counts_are_exact(spark):
+    train = spark.createDataFrame([(0, 1, "a b a b"), (2, 0, "c b"), (0, 0, "a b")], "fold int, label int, text string")
+    pairs = train.mapInArrow(toxicity.word_pairs, "head long, rest long, flags long")
+    level = toxicity.continuation_counts(pairs).collect()
     # by hand: toxic, fold 0: start-a, a-b, b-a; ordinary: start-c, c-b (fold 2) and start-a, a-b (fold 0)
-    level = [r for r in table if r["entry"] < toxicity.OFFSETS[1]]
     assert sorted((r["t0"], r["o0"], r["o2"], r["t"], r["o"]) for r in level) == [
         (0, 0, 1, 0, 1), (1, 1, 1, 1, 2), (2, 1, 0, 2, 1)]
 
 
-def test_probabilities_sum_to_one():
-    draw = np.random.default_rng(4)
-    texts = pa.array([" ".join(draw.choice(PLAIN, 60)) for _ in range(40)])
-    words = word_hash.words(*next(word_hash.runs(texts)))
-    counts = np.zeros((2, toxicity.ENTRIES))
-    for place, offset in zip(toxicity.entries(words.head, words.key), toxicity.OFFSETS):
-        np.add.at(counts[0], place + offset, 1)
-        np.add.at(counts[1], place[::3] + offset, 1)
-    model = toxicity.Model(*counts)
-    _, first = np.unique(words.key, return_index=True)
-    places = [p[first] for p in toxicity.entries(words.head, words.key)]
-    for side in (0, 1):
-        assert 0.8 < model.probability(side, places).sum() < 1.001
+def plain_evidence(rows, texts, d=toxicity.DISCOUNT, share=toxicity.TOXIC_SHARE):
+    """The model of all (label, words) rows in plain Python, by exact strings."""
+    seen = [set(), set()]
+    for y, words in rows:
+        seen[y].update(zip([None, *words], words))
+    cuts = [lambda w: w, lambda w: w.encode()[:6], lambda w: w.encode()[:4]]
+    counts = [[Counter(cut(w) for _, w in s) for cut in cuts] for s in seen]
+    total = [len(s) for s in seen]
+    kept = lambda c, level, w: max(counts[c][level][w] - d, 0) / total[c]
+    left = [[1 - sum(max(n - d, 0) for n in counts[c][level].values()) / total[c] for level in range(3)] for c in (0, 1)]
+    both = [counts[0][level] + counts[1][level] for level in range(3)]
+
+    def probability(c, w):
+        at = [cut(w) for cut in cuts]
+        below = (both[2][at[2]] + 0.5) / (sum(total) + 0.5 * (len(both[2]) + 1))
+        for level in (2, 1, 0):
+            if level < 2:
+                below *= (both[level][at[level]] + 0.5) / (both[level + 1][at[level + 1]] + 1)
+            below = kept(c, level, at[level]) + left[c][level] * below
+        return below
+
+    return [sum(np.log1p(share * (probability(1, w) / probability(0, w) - 1)) for w in words)
+            / (len(words) + toxicity.EXTRA_WORDS) if words else 0.0 for words in texts]
+
+
+def evidence_rows():
+    draw = random.Random(8)
+    rare = [f"{draw.choice(BAD)}{i}" for i in range(2000)]
+    rows = [(i % 3 == 0, draw.choices(PLAIN * 40 + rare[:1500], k=draw.randint(1, 80)) + (draw.choices(BAD, k=3) if i % 3 == 0 else []))
+            for i in range(150)]
+    texts = [draw.choices(PLAIN * 20 + BAD * 9 + rare + ["unseen", "idiotic", "scu"] * 9, k=draw.randint(0, 60)) for _ in range(60)]
+    return [(int(y), w) for y, w in rows], texts
+
+
+@pytest.mark.parametrize("limit", [toxicity.MODEL_ROWS, 0])
+def test_evidence_is_that_of_plain_counts(spark, monkeypatch, limit):
+    """In memory and by joins: what has no entry falls out, and nothing else."""
+    rows, texts = evidence_rows()
+    train = spark.createDataFrame([(2 * (i % 2), y, " ".join(w)) for i, (y, w) in enumerate(rows)],
+                                  "fold int, label int, text string")
+    counted = toxicity.continuation_counts(train.mapInArrow(toxicity.word_pairs, "head long, rest long, flags long"))
+    table, scales = toxicity.entries(counted)
+    assert 0 < table.filter("level = 0").count() < counted.count()
+    monkeypatch.setattr(toxicity, "MODEL_ROWS", limit)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)] + [(98, ""), (99, None)], "row long, text string")
+    scorer = toxicity.Scorer(table, scales)
+    for name, part in (("v", rows), ("v0", rows[::2]), ("v2", rows[1::2])):
+        got = dict(scorer.add(docs, F.col("text"), [F.col("row")], name, "z").collect())
+        expected = plain_evidence(part, texts)
+        assert got[98] == got[99] == 0 and len(got) == 62
+        assert np.allclose([got[i] for i in range(60)], expected, rtol=1e-5, atol=1e-8)
+
+
+def test_rare_toxic_words_keep_their_counts(spark):
+    """A hundred thousand other words take nothing from words that have been seen a few times."""
+    draw = random.Random(6)
+    rare = [f"{a}grud{b}" for a in "bcdf" for b in "aeiou"]
+    noise = lambda: ["%x" % draw.getrandbits(44) for _ in range(60)]
+    rows = [(int(i % 4 == 0), noise() + (draw.choices(rare, k=3) if i % 4 == 0 else [])) for i in range(2000)]
+    train = spark.createDataFrame([(2 * (i % 2), y, " ".join(w)) for i, (y, w) in enumerate(rows)],
+                                  "fold int, label int, text string")
+    table, scales = toxicity.entries(toxicity.continuation_counts(
+        train.mapInArrow(toxicity.word_pairs, "head long, rest long, flags long")))
+    texts = [[w] for w in rare + noise()] + [rows[0][1], rows[1][1]]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "row long, text string")
+    got = dict(toxicity.Scorer(table, scales).add(docs, F.col("text"), [F.col("row")], "v", "z").collect())
+    expected = plain_evidence(rows, texts)
+    assert np.allclose([got[i] for i in range(len(texts))], expected, rtol=1e-4, atol=1e-8)
+    assert min(expected[:20]) > max(expected[20:80]) > 0 or max(expected[20:80]) <= 0
 
 
 def test_every_byte_is_in_one_passage():
