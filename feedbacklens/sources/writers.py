@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..functions import text as T
 from ..operators.hypotheses import output_files
@@ -72,3 +72,33 @@ def attention(df: DataFrame, path: str) -> None:
 
 def safe_text(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, T.html_safe(F.col(column)))
+
+
+class CountsDiffer(ValueError):
+    """A written table does not have the rows that were promised."""
+
+
+def reconciled(df: DataFrame, path: str, expected: int, name: str = "rows", **options: str) -> int:
+    """Write ``df`` as Parquet while counting its rows, and fail unless they are ``expected``.
+
+    The count is a metric on the plan that writes, so no table is read a second time.  Rows are
+    written beside ``path`` first and take its place only when the count is right: a table with
+    lost or doubled rows is never seen there, and what was there before stays.  Returns the
+    count; an empty table counts zero.
+    """
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    beside = hadoop.Path(f"{path.rstrip('/')}._unchecked")
+    place = beside.getFileSystem(spark._jsc.hadoopConfiguration())
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").options(**options).parquet(beside.toString())
+    rows = seen.get["rows"]
+    if rows != expected:
+        place.delete(beside, True)
+        raise CountsDiffer(f"{name}: {rows} rows written, {expected} expected")
+    target = hadoop.Path(path)
+    if place.exists(target):
+        place.delete(target, True)
+    if not place.rename(beside, target):
+        raise OSError(f"{name}: {beside} could not be put in place")
+    return rows
