@@ -358,7 +358,7 @@ def count_reconcile(spark, sf):
 
 
 def _stream(spark, sf, name):
-    return jobs.file_stream(spark, sf, X.table(spark, sf, name).schema, f"{name}.parquet")
+    return jobs.table_stream(spark, f"{sf}/{name}.parquet")
 
 
 @query(f"""SELECT f.* FROM ({CLEAN_SQL}) f
@@ -397,9 +397,9 @@ def endless_passes(spark, sf):
 @query("""SELECT d.doc_id, d.source, l.quality FROM documents d JOIN labels l USING (doc_id)""")
 def stream_refresh(spark, sf):
     out = scratch_path(spark, "refreshed")
+    side_path = f"{sf}/labels.parquet"
     stream = _stream(spark, sf, "documents").select("doc_id", "source")
-    jobs.refreshed_stream(
-        stream, f"{sf}/labels.parquet",
-        lambda batch, side: batch.join(side.select("doc_id", "quality"), "doc_id"), out
-    ).awaitTermination()
-    return spark.read.parquet(out).select("doc_id", "source", "quality")
+    use = lambda batch, side: batch.join(side.select("doc_id", "quality"), "doc_id")
+    jobs.refreshed_stream(stream, side_path, use, out).awaitTermination()
+    schema = use(stream, spark.read.parquet(side_path)).schema
+    return spark.read.schema(schema).parquet(out).select("doc_id", "source", "quality")

@@ -22,6 +22,19 @@ def file_stream(spark: SparkSession, path: str, schema, pattern: str = "*.parque
     )
 
 
+def table_stream(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
+    """A Parquet table, one file or a folder of files, as a stream of the files it has.
+
+    Its last letter is written as a pattern: a stream takes a plain path for a folder, while
+    a pattern may name a file too.  The files of a folder are those a batch reader takes.
+    """
+    schema = spark.read.parquet(path).schema
+    return (
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+        .parquet(f"{path[:-1]}[{path[-1]}]")
+    )
+
+
 def score_stream(feedback: DataFrame, concepts: DataFrame) -> DataFrame:
     """Cleaned, still uncoded feedback of a stream, against coded concepts."""
     return prepare.uncoded(prepare.clean_feedback(feedback), concepts)
